@@ -1,0 +1,49 @@
+"""Join helpers for hot keys and for sides of a checked size.
+
+No operator forces a broadcast on a table that grows.  Spark broadcasts a side
+on its own when its size estimate allows it; ``small_side`` does the same for a
+derived frame, whose size only a run can tell.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from bankspark.sources.literals import literal_table
+
+SALTS = 16
+SMALL_ROWS = 10_000
+
+
+def small_side(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
+    """A frame of at most ``max_rows`` rows as a broadcast literal, any other frame unchanged.
+
+    The probe reads one row more than the bound, so it never fetches a large
+    result, and a frame beyond the bound goes on whole into an ordinary join.
+    """
+    probe = df.limit(max_rows + 1).collect()
+    if len(probe) > max_rows:
+        return df
+    return F.broadcast(literal_table(df.sparkSession, [tuple(r) for r in probe], df.schema))
+
+
+def salted_join(
+    big: DataFrame,
+    unique: DataFrame,
+    key: str,
+    spread: Column,
+    how: str = "inner",
+    salts: int = SALTS,
+) -> DataFrame:
+    """Join a large frame to one that holds each key once, without a hot task.
+
+    Rows of ``big`` that share a key are spread over ``salts`` tasks by the hash
+    of ``spread``, and each row of ``unique`` is offered to all of them.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError("salted_join supports inner and left joins")
+    salt = "_salt"
+    left = big.withColumn(salt, F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
+    right = unique.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return left.join(right, [key, salt], how).drop(salt)
