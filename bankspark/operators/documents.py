@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bankspark.functions.text import amount_myr, rate_pct, tokens, words
-from bankspark.operators.joins import salted_join
 
 WORDS_PER_CHUNK = 200
 LINE_CHARS = 92
@@ -145,8 +144,13 @@ def docs_catalog_reconcile(catalog: DataFrame, sheets: DataFrame, key: str = "pr
     )
 
 
-def term_postings(documents: DataFrame) -> DataFrame:
-    """(doc_id, term, tf, doc_len): each term of each document, and the document's length in terms."""
+def docs_term_stats(documents: DataFrame) -> DataFrame:
+    """The index: (doc_id, term, tf, doc_len), each term of each document and its length in terms.
+
+    Document frequencies are a table of their own, see ``docs_document_frequency``:
+    ranking needs them for the question's terms only, and joining them to every
+    posting would move the whole index once more.
+    """
     tokenised = documents.select("doc_id", tokens("text").alias("terms"))
     return (
         tokenised.select("doc_id", F.size("terms").cast("bigint").alias("doc_len"), F.explode("terms").alias("term"))
@@ -155,21 +159,10 @@ def term_postings(documents: DataFrame) -> DataFrame:
     )
 
 
-def document_frequency(documents: DataFrame) -> DataFrame:
+def docs_document_frequency(documents: DataFrame) -> DataFrame:
     """(term, df): the number of documents that contain the term."""
     return (
         documents.select(F.explode(F.array_distinct(tokens("text"))).alias("term"))
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("df"))
     )
-
-
-def docs_term_stats(documents: DataFrame) -> DataFrame:
-    """The index: (doc_id, term, tf, df, doc_len).
-
-    A term that occurs in every document would make one hot task in the join
-    with its document frequency, so that join is salted by document.
-    """
-    return salted_join(
-        term_postings(documents), document_frequency(documents), "term", F.col("doc_id")
-    ).select("doc_id", "term", "tf", "df", "doc_len")

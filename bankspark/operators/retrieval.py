@@ -14,6 +14,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -25,6 +27,7 @@ from bankspark.operators.quality import union_all
 
 TOP_K = 5
 QUESTIONS_PER_BLOCK = 256
+ROWS_PER_STEP = 1024
 # The two BM25 parameters.
 K1 = 1.2
 B = 0.75
@@ -35,9 +38,10 @@ COSINE_PLACES = 6
 class BestPerQuestion:
     """Running k best documents per question: higher score first, then lower document id."""
 
-    def __init__(self, questions: int, k: int):
+    def __init__(self, question_ids: np.ndarray, k: int):
+        self.question_ids = question_ids
         self.k = k
-        self.floor = np.full(questions, -np.inf)
+        self.floor = np.full(len(question_ids), -np.inf)
         self.question = np.empty(0, dtype=np.int64)
         self.doc = np.empty(0, dtype=np.int64)
         self.score = np.empty(0)
@@ -55,24 +59,29 @@ class BestPerQuestion:
         score = np.concatenate([self.score, scores[rows, questions]])
         order = np.lexsort((doc, -score, question))
         question, doc, score = question[order], doc[order], score[order]
-        starts = np.searchsorted(question, question)
-        rank = np.arange(len(question)) - starts
+        rank = np.arange(len(question)) - np.searchsorted(question, question)
+        last = rank == self.k - 1
+        self.floor[question[last]] = score[last]
         keep = rank < self.k
-        full = question[rank == self.k - 1]
-        self.floor[full] = score[rank == self.k - 1]
         self.question, self.doc, self.score = question[keep], doc[keep], score[keep]
 
-    def frame(self, question_ids: np.ndarray) -> pd.DataFrame:
-        return pd.DataFrame({
-            "question_id": question_ids[self.question],
-            "doc_id": self.doc,
-            "score": self.score,
+    def batch(self) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({
+            "question_id": pa.array(self.question_ids[self.question], pa.int64()),
+            "doc_id": pa.array(self.doc, pa.int64()),
+            "score": pa.array(self.score, pa.float64()),
         })
 
 
 BEST_SCHEMA = "question_id bigint, doc_id bigint, score double"
 
 
+def _in_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, ROWS_PER_STEP):
+            yield batch.slice(start, ROWS_PER_STEP)
+
+
 def _question_blocks(questions: DataFrame, per_block: int) -> list[DataFrame]:
     """Split the questions by the hash of their id into parts of about ``per_block`` rows."""
     n = questions.count()
@@ -101,7 +110,7 @@ def _bm25_scorer(
     idf: np.ndarray,
     mean_length: float,
     k: int,
-) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Score batches of (doc_id, doc_len, indices, values) sparse term counts.
 
     ``term_of`` and ``question_of`` list the (term, question) pairs by term.
@@ -109,26 +118,23 @@ def _bm25_scorer(
     n = len(question_ids)
     first = np.searchsorted(term_of, np.arange(len(idf) + 1))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        best = BestPerQuestion(n, k)
-        for batch in batches:
-            for start in range(0, len(batch), 1024):
-                part = batch.iloc[start:start + 1024]
-                per_doc = part["indices"].map(len).to_numpy()
-                if per_doc.sum() == 0:
-                    continue
-                row = np.repeat(np.arange(len(part)), per_doc)
-                term = np.concatenate(part["indices"].to_list()).astype(np.int64)
-                tf = np.concatenate(part["values"].to_list())
-                length = part["doc_len"].to_numpy()[row]
-                weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / mean_length))
-                askers = first[term + 1] - first[term]
-                offset = np.arange(askers.sum()) - np.repeat(np.cumsum(askers) - askers, askers)
-                question = question_of[np.repeat(first[term], askers) + offset]
-                cell = np.repeat(row, askers) * n + question
-                scores = np.bincount(cell, np.repeat(weight, askers), len(part) * n).reshape(len(part), n)
-                best.offer(part["doc_id"].to_numpy(), np.round(scores, BM25_PLACES), scores > 0)
-        yield best.frame(question_ids)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = BestPerQuestion(question_ids, k)
+        for part in _in_parts(batches):
+            rows = part.num_rows
+            term = part.column("indices").flatten().to_numpy(zero_copy_only=False)
+            tf = part.column("values").flatten().to_numpy(zero_copy_only=False)
+            per_doc = pc.list_value_length(part.column("indices")).to_numpy(zero_copy_only=False)
+            row = np.repeat(np.arange(rows), per_doc)
+            length = part.column("doc_len").to_numpy(zero_copy_only=False)[row]
+            weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / mean_length))
+            askers = first[term + 1] - first[term]
+            offset = np.arange(askers.sum()) - np.repeat(np.cumsum(askers) - askers, askers)
+            question = question_of[np.repeat(first[term], askers) + offset]
+            cell = np.repeat(row, askers) * n + question
+            scores = np.bincount(cell, np.repeat(weight, askers), rows * n).reshape(rows, n)
+            best.offer(part.column("doc_id").to_numpy(), np.round(scores, BM25_PLACES), scores > 0)
+        yield best.batch()
 
     return run
 
@@ -145,27 +151,32 @@ def _bm25_block(documents: DataFrame, questions: DataFrame, k: int) -> DataFrame
     by_term = np.lexsort((question_code, term_code))
 
     counter = CountVectorizerModel.from_vocabulary(list(vocabulary), inputCol="terms", outputCol="counts")
-    counted = counter.transform(
-        documents.select("doc_id", tokens(F.coalesce("text", F.lit(""))).alias("terms"))
-    ).select("doc_id", F.size("terms").alias("doc_len"), "counts")
-
-    corpus = counted.agg(
-        F.count(F.lit(1)).alias("docs"),
-        F.sum("doc_len").alias("length"),
-        Summarizer.numNonZeros(F.col("counts")).alias("df"),
-    ).first()
-    if not corpus["docs"] or not corpus["length"]:
+    sparse = F.unwrap_udt("counts")
+    counted = (
+        counter.transform(documents.select("doc_id", tokens(F.coalesce("text", F.lit(""))).alias("terms")))
+        .select(
+            "doc_id", F.size("terms").alias("doc_len"),
+            sparse["indices"].alias("indices"), sparse["values"].alias("values"),
+        )
+    )
+
+    # One pass for the corpus figures; the pseudo term -1 stands for every document.
+    figures = (
+        counted.select("doc_len", F.explode(F.concat(F.array(F.lit(-1)), "indices")).alias("term"))
+        .groupBy("term")
+        .agg(F.count(F.lit(1)).alias("df"), F.sum("doc_len").alias("length"))
+        .toPandas()
+        .set_index("term")
+    )
+    if -1 not in figures.index or not figures.at[-1, "length"]:
         return None
-    df = corpus["df"].toArray()
-    idf = np.log(1 + (corpus["docs"] - df + 0.5) / (df + 0.5))
+    docs, length = int(figures.at[-1, "df"]), int(figures.at[-1, "length"])
+    df = figures["df"].reindex(range(len(vocabulary)), fill_value=0).to_numpy(dtype=np.float64)
+    idf = np.log(1 + (docs - df + 0.5) / (df + 0.5))
     scorer = _bm25_scorer(
-        question_ids.to_numpy(), term_code[by_term], question_code[by_term], idf,
-        corpus["length"] / corpus["docs"], k,
+        question_ids.to_numpy(), term_code[by_term], question_code[by_term], idf, length / docs, k
     )
-    sparse = F.unwrap_udt("counts")
-    return counted.select(
-        "doc_id", "doc_len", sparse["indices"].alias("indices"), sparse["values"].alias("values")
-    ).mapInPandas(scorer, BEST_SCHEMA)
+    return counted.mapInArrow(scorer, BEST_SCHEMA)
 
 
 def docs_bm25_topk(
@@ -189,15 +200,16 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return np.divide(vectors, length, out=np.zeros_like(vectors), where=length > 0)
 
 
-def _cosine_scorer(question_ids: np.ndarray, vectors: np.ndarray, k: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        best = BestPerQuestion(len(question_ids), k)
-        for batch in batches:
-            for start in range(0, len(batch), 1024):
-                part = batch.iloc[start:start + 1024]
-                docs = _unit(np.stack(part["embedding"].to_list()).astype(np.float64))
-                best.offer(part["doc_id"].to_numpy(), np.round(docs @ vectors.T, COSINE_PLACES))
-        yield best.frame(question_ids)
+def _cosine_scorer(
+    question_ids: np.ndarray, questions: np.ndarray, k: int
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = BestPerQuestion(question_ids, k)
+        for part in _in_parts(batches):
+            numbers = part.column("embedding").flatten().to_numpy(zero_copy_only=False)
+            vectors = _unit(numbers.astype(np.float64).reshape(part.num_rows, questions.shape[1]))
+            best.offer(part.column("doc_id").to_numpy(), np.round(vectors @ questions.T, COSINE_PLACES))
+        yield best.batch()
 
     return run
 
@@ -216,7 +228,7 @@ def docs_cosine_topk(
             continue
         unit = _unit(np.stack(asked["embedding"].to_list()).astype(np.float64))
         scorer = _cosine_scorer(asked["question_id"].to_numpy(), unit, k)
-        candidates.append(vectors.select("doc_id", "embedding").mapInPandas(scorer, BEST_SCHEMA))
+        candidates.append(vectors.select("doc_id", "embedding").mapInArrow(scorer, BEST_SCHEMA))
     if not candidates:
         candidates = [vectors.sparkSession.createDataFrame([], BEST_SCHEMA)]
     return _best_of_all(candidates, k)

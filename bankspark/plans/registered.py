@@ -35,7 +35,7 @@ DASHBOARD_CHOICE = {
     "region": ["Central", "East Coast", "Northern"],
     "state": [],
 }
-POLICIES = [G.MaskPolicy("mask_pii_columns"), G.RowFilterPolicy("branches_by_region")]
+POLICIES = [G.MaskPolicy("mask_pii"), G.RowFilterPolicy("branches_by_region")]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -295,6 +295,7 @@ JOBS: dict[str, Callable[[Bank], DataFrame]] = {
     "docs_catalog_reconcile": lambda b: D.docs_catalog_reconcile(
         b.catalog, D.sheet_rates(b.facts, "doc_id"), "doc_id"),
     "docs_term_stats": lambda b: D.docs_term_stats(b.raw("documents")),
+    "docs_document_frequency": lambda b: D.docs_document_frequency(b.raw("documents")),
     "docs_bm25_topk": lambda b: R.docs_bm25_topk(b.raw("documents"), b.questions),
     "docs_cosine_topk": lambda b: R.docs_cosine_topk(b.vectors, R.topic_vectors(b.vectors)),
     "route_questions": lambda b: W.route_questions(b.user_turns, b.specialists),

@@ -496,7 +496,8 @@ from (select case when p_partkey % 7 = 0 then -1 - p_partkey else p_partkey end
         p_size + case when p_partkey % 11 = 0 then 0.75::double else 0.25::double end as profit_rate_pct from part) c
 full join (select p_partkey as doc_id, p_size + 0.25::double as sheet_rate_pct from part) s on c.doc_id = s.doc_id""",
     "docs_term_stats": """
-select doc_id, term, tf, df, doc_len from postings join doc_freq using (term) join lengths using (doc_id)""",
+select doc_id, term, tf, doc_len from postings join lengths using (doc_id)""",
+    "docs_document_frequency": "select * from doc_freq",
     "docs_bm25_topk": """
 select question_id, rank, doc_id, score from (
   select *, row_number() over (partition by question_id order by score desc, doc_id) as rank from bm25)
