@@ -1,8 +1,8 @@
-"""Join helpers for hot keys and for sides of a checked size.
+"""Joins for hot keys and for sides of a checked size.
 
 No operator forces a broadcast on a table that grows.  Spark broadcasts a side
-on its own when its size estimate allows it; ``small_side`` does the same for a
-derived frame, whose size only a run can tell.
+on its own when its size estimate allows it; ``join_lookup`` does the same for
+a derived frame, whose size only a run can tell.
 """
 
 from __future__ import annotations
@@ -13,37 +13,33 @@ from pyspark.sql import functions as F
 from bankspark.sources.literals import literal_table
 
 SALTS = 16
-SMALL_ROWS = 10_000
+LOOKUP_ROWS = 10_000
 
 
-def small_side(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """A frame of at most ``max_rows`` rows as a broadcast literal, any other frame unchanged.
+def salted_join(big: DataFrame, other: DataFrame, key: str, spread: Column, salts: int = SALTS) -> DataFrame:
+    """Inner join of a large frame, in which one key may own much of the rows, to a smaller one.
 
-    The probe reads one row more than the bound, so it never fetches a large
-    result, and a frame beyond the bound goes on whole into an ordinary join.
+    Rows of ``big`` that share a key are spread over ``salts`` tasks by the hash
+    of ``spread``, and each row of ``other`` is offered to all of them.  Both
+    sides get an exchange of their own, so adaptive execution can split a task
+    that is still too large.
     """
-    probe = df.limit(max_rows + 1).collect()
-    if len(probe) > max_rows:
-        return df
-    return F.broadcast(literal_table(df.sparkSession, [tuple(r) for r in probe], df.schema))
+    salt = "_salt"
+    left = big.withColumn(salt, F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
+    right = other.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return left.join(right, [key, salt]).drop(salt)
 
 
-def salted_join(
-    big: DataFrame,
-    unique: DataFrame,
-    key: str,
-    spread: Column,
-    how: str = "inner",
-    salts: int = SALTS,
+def join_lookup(
+    big: DataFrame, lookup: DataFrame, key: str, spread: Column, max_rows: int = LOOKUP_ROWS
 ) -> DataFrame:
-    """Join a large frame to one that holds each key once, without a hot task.
+    """Inner join to a lookup: broadcast up to ``max_rows`` rows, salted beyond.
 
-    Rows of ``big`` that share a key are spread over ``salts`` tasks by the hash
-    of ``spread``, and each row of ``unique`` is offered to all of them.
+    The probe reads one row more than the bound, so it never fetches a large
+    lookup, and one beyond the bound takes part whole in the salted join.
     """
-    if how not in ("inner", "left"):
-        raise ValueError("salted_join supports inner and left joins")
-    salt = "_salt"
-    left = big.withColumn(salt, F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
-    right = unique.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, [key, salt], how).drop(salt)
+    probe = lookup.limit(max_rows + 1).collect()
+    if len(probe) > max_rows:
+        return salted_join(big, lookup, key, spread)
+    local = literal_table(lookup.sparkSession, [tuple(row) for row in probe], lookup.schema)
+    return big.join(F.broadcast(local), key)

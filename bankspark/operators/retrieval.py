@@ -26,7 +26,8 @@ from bankspark.functions.text import tokens
 from bankspark.operators.quality import union_all
 
 TOP_K = 5
-QUESTIONS_PER_BLOCK = 256
+TERMS_PER_BLOCK = 10_000
+VECTORS_PER_BLOCK = 512
 ROWS_PER_STEP = 1024
 # The two BM25 parameters.
 K1 = 1.2
@@ -82,14 +83,25 @@ def _in_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(start, ROWS_PER_STEP)
 
 
-def _question_blocks(questions: DataFrame, per_block: int) -> list[DataFrame]:
-    """Split the questions by the hash of their id into parts of about ``per_block`` rows."""
-    n = questions.count()
-    parts = max(1, math.ceil(n / per_block))
-    if parts == 1:
-        return [questions]
-    part = F.pmod(F.xxhash64("question_id"), F.lit(parts))
-    return [questions.filter(part == i) for i in range(parts)]
+def _question_blocks(questions: DataFrame, weights: DataFrame, bound: int) -> list[DataFrame]:
+    """Split the questions by the hash of their id into parts of about ``bound`` weight.
+
+    ``weights`` is (question_id, weight).  The parts are weighed before use and
+    split further while one exceeds four times the bound (or the heaviest
+    question, which cannot be split), so what a task receives has a known limit.
+    """
+    total = weights.agg(F.sum("weight").alias("all"), F.max("weight").alias("heaviest")).first()
+    if not total["all"]:
+        return []
+    limit = 4 * max(bound, total["heaviest"])
+    parts = math.ceil(total["all"] / bound)
+    while parts > 1:
+        part = F.pmod(F.xxhash64("question_id"), F.lit(parts))
+        loads = weights.groupBy(part.alias("part")).agg(F.sum("weight").alias("weight"))
+        if loads.agg(F.max("weight")).first()[0] <= limit:
+            return [questions.filter(part == i) for i in range(parts)]
+        parts *= 2
+    return [questions]
 
 
 def _best_of_all(candidates: list[DataFrame], k: int) -> DataFrame:
@@ -139,11 +151,8 @@ def _bm25_scorer(
     return run
 
 
-def _bm25_block(documents: DataFrame, questions: DataFrame, k: int) -> DataFrame | None:
-    asked = (
-        questions.select("question_id", F.explode(F.array_distinct(tokens("text"))).alias("term"))
-        .toPandas()
-    )
+def _bm25_block(documents: DataFrame, asked_terms: DataFrame, k: int) -> DataFrame | None:
+    asked = asked_terms.toPandas()
     if asked.empty:
         return None
     term_code, vocabulary = pd.factorize(asked["term"], sort=True)
@@ -180,19 +189,21 @@ def _bm25_block(documents: DataFrame, questions: DataFrame, k: int) -> DataFrame
 
 
 def docs_bm25_topk(
-    documents: DataFrame, questions: DataFrame, k: int = TOP_K, per_block: int = QUESTIONS_PER_BLOCK
+    documents: DataFrame, questions: DataFrame, k: int = TOP_K, terms_per_block: int = TERMS_PER_BLOCK
 ) -> DataFrame:
     """The k best documents per question (question_id, text) by BM25, with the score as citation.
 
     Returns (question_id, rank, doc_id, score).  Documents that share no term
     with a question are never returned for it.
     """
-    blocks = [_bm25_block(documents, q, k) for q in _question_blocks(questions, per_block)]
-    found = [b for b in blocks if b is not None]
-    if not found:
-        empty = documents.sparkSession.createDataFrame([], BEST_SCHEMA)
-        return _best_of_all([empty], k)
-    return _best_of_all(found, k)
+    asked = questions.select("question_id", F.explode(F.array_distinct(tokens("text"))).alias("term"))
+    weights = asked.groupBy("question_id").agg(F.count(F.lit(1)).alias("weight"))
+    blocks = [_bm25_block(documents, block, k) for block in _question_blocks(asked, weights, terms_per_block)]
+    return _best_of_all([b for b in blocks if b is not None] or [_no_answers(documents)], k)
+
+
+def _no_answers(df: DataFrame) -> DataFrame:
+    return df.sparkSession.createDataFrame([], BEST_SCHEMA)
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
@@ -215,23 +226,22 @@ def _cosine_scorer(
 
 
 def docs_cosine_topk(
-    vectors: DataFrame, questions: DataFrame, k: int = TOP_K, per_block: int = QUESTIONS_PER_BLOCK
+    vectors: DataFrame, questions: DataFrame, k: int = TOP_K, per_block: int = VECTORS_PER_BLOCK
 ) -> DataFrame:
     """The k nearest vectors (doc_id, embedding) per question vector (question_id, embedding).
 
     Returns (question_id, rank, doc_id, score), exact over all vectors.
     """
+    weights = questions.select("question_id", F.lit(1).alias("weight"))
     candidates = []
-    for block in _question_blocks(questions, per_block):
+    for block in _question_blocks(questions, weights, per_block):
         asked = block.toPandas()
         if asked.empty:
             continue
         unit = _unit(np.stack(asked["embedding"].to_list()).astype(np.float64))
         scorer = _cosine_scorer(asked["question_id"].to_numpy(), unit, k)
         candidates.append(vectors.select("doc_id", "embedding").mapInArrow(scorer, BEST_SCHEMA))
-    if not candidates:
-        candidates = [vectors.sparkSession.createDataFrame([], BEST_SCHEMA)]
-    return _best_of_all(candidates, k)
+    return _best_of_all(candidates or [_no_answers(vectors)], k)
 
 
 def topic_vectors(vectors: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bankspark.functions.text import tokens
-from bankspark.operators.joins import small_side
+from bankspark.operators.joins import LOOKUP_ROWS, join_lookup
 
 DESCRIPTION_TERMS = 50
 
@@ -36,12 +36,12 @@ def frequent_terms(documents: DataFrame, specialist: str, n: int = DESCRIPTION_T
     )
 
 
-def overlaps(questions: DataFrame, terms: DataFrame) -> DataFrame:
+def overlaps(questions: DataFrame, terms: DataFrame, max_rows: int = LOOKUP_ROWS) -> DataFrame:
     """(question keys, specialist, score): distinct question terms found in each description."""
     keys = [c for c in questions.columns if c != "text"]
     asked = questions.select(*keys, F.explode(F.array_distinct(tokens("text"))).alias("term"))
     return (
-        asked.join(small_side(terms), "term")
+        join_lookup(asked, terms, "term", F.struct(*keys), max_rows)
         .groupBy(*keys, "specialist")
         .agg(F.count(F.lit(1)).alias("score"))
     )

@@ -125,13 +125,13 @@ def map_transactions(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
         + F.col("l_suppkey") % 100
     )
     sign = F.when(F.col("l_returnflag") == "R", -1).otherwise(1)
-    owners = orders.select("o_orderkey", "o_custkey")
+    owners = orders.select("o_orderkey", _customer_id(_next_if_multiple("o_custkey", 10)).alias("customer_id"))
     return lineitem.join(owners, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.concat(
             F.lit("T"), _padded(F.col("l_orderkey"), 9), F.lit("-"), F.col("l_linenumber"),
             F.lit("-"), F.col("l_partkey"), F.lit("-"), F.col("l_suppkey"),
         ).alias("txn_id"),
-        _customer_id(_next_if_multiple("o_custkey", 10)).alias("customer_id"),
+        "customer_id",
         F.col("l_shipdate").cast("date").alias("txn_date"),
         ((sign * whole_cents).cast("double") / 100).alias("amount_myr"),
         _pick(F.col("l_suppkey") % 6, S.CHANNELS).alias("channel"),
