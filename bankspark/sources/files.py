@@ -10,9 +10,10 @@ from pyspark.sql import types as T
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """CSV with a header line.
 
-    With a declared schema the file is read once, ids such as ``007`` stay text
-    and the header is checked against the column names.  Without one Spark
-    infers the types, at the price of another pass over the file.
+    With a declared schema the file is read once and the header is checked
+    against the column names.  Without one Spark infers the types, at the price
+    of another pass over the file and of surprises: ``007`` becomes a number and
+    ``T1`` a time of day.
     """
     reader = spark.read.option("header", True)
     if schema is None:

@@ -1,0 +1,186 @@
+"""Hot keys, plan shapes, and results that do not depend on the layout."""
+
+from __future__ import annotations
+
+import datetime as dt
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
+from bankspark import schemas as S
+from bankspark.operators import features as E
+from bankspark.operators import metrics as Q
+from bankspark.operators import quality as C
+from bankspark.operators.joins import join_lookup, salted_join
+
+N = 30_000
+
+
+@pytest.fixture(scope="module")
+def hot(spark):
+    """A third of all transactions belong to one customer and one merchant."""
+    i = F.col("id")
+    owner = F.when(i % 3 == 0, F.lit(0)).otherwise(i % 1000)
+    transactions = spark.range(0, N, numPartitions=6).select(
+        F.format_string("T%07d", i).alias("txn_id"), F.format_string("C%05d", owner).alias("customer_id"),
+        F.date_add(F.lit(dt.date(2001, 1, 1)), (i % 200).cast("int")).alias("txn_date"),
+        ((i % 500).cast("double") / 4).alias("amount_myr"),
+        F.element_at(F.array(*map(F.lit, S.CHANNELS)), (i % 6 + 1).cast("int")).alias("channel"),
+        F.element_at(F.array(*map(F.lit, S.CATEGORIES)), (i % 12 + 1).cast("int")).alias("category"),
+        F.format_string("m%d", owner % 7).alias("merchant"),
+    )
+    customers = spark.range(1000).select(
+        F.format_string("C%05d", F.col("id")).alias("customer_id"),
+        F.element_at(F.array(*map(F.lit, S.SEGMENTS)), (F.col("id") % 5 + 1).cast("int")).alias("segment"),
+        F.format_string("S%d", F.col("id") % 9).alias("state"), F.lit("Central").alias("region"),
+        F.lit(1).cast("bigint").alias("products_held"), F.lit(1.5).alias("total_balance_myr"),
+        F.lit(2.5).alias("total_spend_myr"),
+    )
+    return customers, transactions
+
+
+def _profile(customers):
+    return {r["customer_id"]: r for r in customers.collect()}
+
+
+def test_hot_customer_in_the_row_level_join(hot):
+    customers, transactions = hot
+    profile = _profile(customers)
+    got = Q.dash_dataset(customers, transactions).groupBy("segment").agg(F.count("*"), F.sum("amount_myr")).collect()
+    want = {}
+    for r in transactions.collect():
+        segment = profile[r["customer_id"]]["segment"]
+        n, total = want.get(segment, (0, 0.0))
+        want[segment] = (n + 1, total + r["amount_myr"])
+    assert {r[0]: (r[1], r[2]) for r in got} == want
+
+
+def test_charts_agree_with_the_dataset(hot):
+    """Adding up per customer first gives what the joined rows give."""
+    customers, transactions = hot
+    rows = Q.dash_dataset(customers, transactions)
+    by = rows.groupBy("category").agg(F.sum("amount_myr")).collect()
+    assert {r[0]: r[1] for r in by} == {r[0]: r[1] for r in Q.dash_spend_by_category(customers, transactions).collect()}
+    by = rows.groupBy("state").agg(F.count_distinct("customer_id"), F.sum("amount_myr")).collect()
+    charted = Q.dash_customers_by_state(customers, transactions).collect()
+    assert {tuple(r) for r in by} == {tuple(r) for r in charted}
+    by = rows.groupBy(F.trunc("txn_date", "month").cast("timestamp")).agg(F.sum("amount_myr")).collect()
+    assert {tuple(r) for r in by} == {tuple(r) for r in Q.dash_spend_by_month(customers, transactions).collect()}
+
+
+def test_filtered_charts(hot):
+    customers, transactions = hot
+    chosen = {"segment": ["Mass", "Senior"], "state": ["S1"], "region": []}
+    rows = Q.apply_filters(Q.dash_dataset(customers, transactions), chosen)
+    charted = Q.dash_spend_by_category(Q.apply_filters(customers, chosen), transactions)
+    by = rows.groupBy("category").agg(F.sum("amount_myr")).collect()
+    assert {tuple(r) for r in by} == {tuple(r) for r in charted.collect()}
+    assert {r["segment"] for r in rows.select("segment").distinct().collect()} <= {"Mass", "Senior"}
+
+
+def test_only_small_rows_reach_the_join_of_a_chart(hot):
+    """The map side collapses the hot customer: a shuffle carries far fewer rows than there are transactions."""
+    customers, transactions = hot
+    per_task = transactions.select("customer_id", "category", F.spark_partition_id().alias("task"))
+    shuffled = per_task.filter("customer_id = 'C00000'").distinct().count()
+    assert shuffled <= 12 * 6
+    assert transactions.filter("customer_id = 'C00000'").count() >= N // 3
+
+
+def test_salting_spreads_a_hot_key(hot):
+    customers, transactions = hot
+    joined = salted_join(transactions, customers, "customer_id", F.col("txn_id"), salts=8)
+    assert joined.count() == N
+    assert joined.columns == ["customer_id", *[c for c in transactions.columns if c != "customer_id"],
+                              *customers.columns[1:]]
+
+
+def test_adaptive_execution_splits_the_salted_join(spark, hot):
+    customers, transactions = hot
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1b",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10kb",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        df = Q.dash_dataset(customers, transactions)
+        assert len(df.collect()) == N
+        assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+@pytest.mark.parametrize("max_rows", [100, 2])
+def test_lookup_beyond_its_bound_is_joined_whole(spark, max_rows):
+    big = spark.range(1000).select(F.col("id"), (F.col("id") % 10).alias("k"))
+    lookup = spark.createDataFrame([(k, f"v{k}") for k in range(10)], "k bigint, v string")
+    joined = join_lookup(big, lookup, "k", F.col("id"), max_rows)
+    assert joined.filter(F.concat(F.lit("v"), "k") == F.col("v")).count() == 1000
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert ("strategy=broadcast" in plan) == (max_rows == 100)
+
+
+def test_layout_does_not_change_results(spark, hot):
+    customers, transactions = hot
+    for job in (E.feat_txn, Q.agg_channel_stats, Q.agg_spend_by_category, C.dq_merchant_category):
+        one = {tuple(r) for r in job(transactions.coalesce(1)).collect()}
+        many = {tuple(r) for r in job(transactions.repartition(13, "merchant")).collect()}
+        assert one == many
+
+
+def test_every_customer_has_exactly_one_offer_and_spend_adds_up(spark, small_dir):
+    features = entry.queries()["customer_360_features"](spark, small_dir)
+    assert features.count() == features.select("customer_id").distinct().count()
+    assert features.filter("next_best_offer is null").count() == 0
+    total = features.agg(F.sum(F.rint(F.col("total_spend") * 100).cast("bigint"))).first()[0]
+    by_category = entry.queries()["agg_spend_by_category"](spark, small_dir)
+    assert total == by_category.agg(F.sum(F.rint(F.col("total_amount") * 100).cast("bigint"))).first()[0]
+
+
+# Plan shapes
+
+SCORERS = {"docs_bm25_topk", "docs_cosine_topk"}
+WRITERS = {
+    "src_csv_infer", "src_customer_upload", "src_table_scan", "sink_table_overwrite", "sink_ctas_replace",
+    "bronze_ingest_counts",
+}
+MODELS = {"ml_leaderboard", "ml_batch_score", "ml_offer_actions"}
+
+
+@pytest.mark.parametrize("name", sorted(set(entry.queries()) - WRITERS - MODELS))
+def test_plan(spark, small_dir, name):
+    plan = entry.queries()[name](spark, small_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    python = re.findall(r"\b(BatchEvalPython|ArrowEvalPython|MapInPandas|MapInArrow|FlatMapGroups\w+)\b", plan)
+    assert set(python) <= ({"MapInArrow"} if name in SCORERS else set())
+
+
+def test_scans_read_only_what_they_need(spark, small_dir):
+    plan = entry.queries()["agg_spend_by_category"](spark, small_dir)._jdf.queryExecution().executedPlan().toString()
+    read = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
+    assert not any("l_shipdate" in columns or "l_discount" in columns for columns in read)
+
+
+def test_predicates_reach_the_scan(spark, tmp_path):
+    path = str(tmp_path / "customers")
+    spark.createDataFrame([("C1", 31, "Mass")], "customer_id string, age int, segment string").write.parquet(path)
+    plan = Q.eda_age_filter_by_segment(spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(age,30)" in plan
+    assert "ReadSchema: struct<age:int,segment:string>" in plan
+
+
+def test_top_k_is_limited_before_the_shuffle(spark, small_dir):
+    for name in ("docs_bm25_topk", "route_questions"):
+        plan = entry.queries()[name](spark, small_dir)._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"WindowGroupLimit .* Partial", plan)
+    top = entry.queries()["topk_gold_spend"](spark, small_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in top
