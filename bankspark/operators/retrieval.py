@@ -10,12 +10,14 @@ block holds are answered in several blocks, so no question is dropped and no
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -25,6 +27,9 @@ from pyspark.sql import functions as F
 from bankspark.functions.text import tokens
 from bankspark.operators.quality import union_all
 
+# Executors get the scorers with the task, so this package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 TOP_K = 5
 TERMS_PER_BLOCK = 10_000
 VECTORS_PER_BLOCK = 512

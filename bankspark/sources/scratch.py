@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -19,7 +20,7 @@ def shared_folder(spark: SparkSession) -> str:
     """
     base = spark.conf.get(SETTING, None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError(f"set {SETTING} to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="bankspark-")
     return f"{base.rstrip('/')}/bankspark-{uuid.uuid4().hex}"

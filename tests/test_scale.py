@@ -184,3 +184,28 @@ def test_top_k_is_limited_before_the_shuffle(spark, small_dir):
         assert re.search(r"WindowGroupLimit .* Partial", plan)
     top = entry.queries()["topk_gold_spend"](spark, small_dir)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in top
+
+
+def test_scorers_travel_with_the_task():
+    """Executors do not have this package: its functions must be pickled by value."""
+    import subprocess
+    import sys
+    import textwrap
+
+    import numpy as np
+    from pyspark import cloudpickle
+
+    from bankspark.operators import retrieval
+
+    scorer = retrieval._cosine_scorer(np.arange(2), np.eye(2), 1)
+    script = textwrap.dedent("""
+        import sys
+        from pyspark import cloudpickle
+        import pyarrow as pa
+        run = cloudpickle.loads(bytes.fromhex(sys.stdin.read()))
+        batch = pa.RecordBatch.from_pydict({"doc_id": [7], "embedding": [[1.0, 0.0]]})
+        print(next(iter(run(iter([batch])))).num_rows, "bankspark" in sys.modules)
+    """)
+    done = subprocess.run(
+        [sys.executable, "-c", script], input=cloudpickle.dumps(scorer).hex(), cwd="/", text=True, capture_output=True)
+    assert done.stdout.split() == ["2", "False"], done.stderr
