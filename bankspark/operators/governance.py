@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -72,6 +72,33 @@ def region_group(region: Column | str) -> Column:
     return F.concat(F.lit(TEAM_PREFIX), F.lower(F.replace(region, F.lit(" "), F.lit("_"))))
 
 
+def groups_of(group_members: DataFrame, principal: int) -> DataFrame:
+    return (
+        group_members.filter((F.col("principal") == principal) & F.col("group_name").isNotNull())
+        .select(F.col("group_name").alias("_group"))
+        .distinct()
+    )
+
+
+def register_functions(spark: SparkSession, group_members: DataFrame, principal: int) -> None:
+    """The mask and the row filter for SQL text: ``mask_pii(text)`` and ``filter_by_region(region)``.
+
+    Both are temporary SQL functions of the session.  The reader's groups are
+    fixed when the functions are created.
+    """
+    names = [row[0] for row in groups_of(group_members, principal).limit(MAX_GROUPS + 1).collect()]
+    if len(names) > MAX_GROUPS:
+        raise ValueError(f"principal {principal} is in more than {MAX_GROUPS} groups; use enforce")
+    quoted = ", ".join("'" + name.replace("\\", "\\\\").replace("'", "\\'") + "'" for name in sorted(names))
+    group = f"concat('{TEAM_PREFIX}', lower(replace(region, ' ', '_')))"
+    member = f"{group} IN ({quoted})" if names else "false"
+    spark.sql(
+        "CREATE OR REPLACE TEMPORARY FUNCTION mask_pii(input_value STRING) RETURNS STRING "
+        f"RETURN '{MASKED}'"
+    )
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION filter_by_region(region STRING) RETURNS BOOLEAN RETURN {member}")
+
+
 def filter_rows(df: DataFrame, region_column: str, group_members: DataFrame, principal: int) -> DataFrame:
     """Rows whose region team the principal belongs to.
 
@@ -80,12 +107,8 @@ def filter_rows(df: DataFrame, region_column: str, group_members: DataFrame, pri
     gets a semi-join instead.  A NULL region matches no group, and a reader in
     no group sees no row.
     """
-    own = (
-        group_members.filter(F.col("principal") == principal)
-        .select(F.col("group_name").alias("_group"))
-        .distinct()
-    )
-    names = [row[0] for row in own.filter(F.col("_group").isNotNull()).limit(MAX_GROUPS + 1).collect()]
+    own = groups_of(group_members, principal)
+    names = [row[0] for row in own.limit(MAX_GROUPS + 1).collect()]
     if len(names) > MAX_GROUPS:
         return df.join(own, region_group(region_column) == F.col("_group"), "left_semi")
     if not names:

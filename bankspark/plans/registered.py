@@ -20,8 +20,9 @@ from bankspark.operators import routing as W
 from bankspark.sources import files, tables
 from bankspark.sources.mapping import AS_OF, GivenTables
 from bankspark.sources.scratch import shared_folder, table_prefix
-from bankspark.sources.tags import set_tag
+from bankspark.sources.tags import columns_with_tag, set_tag, tag_listing
 
+TRANSACTIONS_COMMENT = "One row per transaction: amount in MYR, channel, category and merchant."
 PRINCIPAL = 1
 HOME_STATE = "NATION_3"
 FORMATS = {
@@ -121,8 +122,7 @@ class Bank(GivenTables):
 
     def customer_upload(self) -> DataFrame:
         uploaded = files.read_csv(self.spark, self.as_csv("customers")["customers"], S.CUSTOMERS)
-        name = table_prefix() + "customers"
-        stored = tables.create_or_replace(self.spark, name, uploaded, f"{shared_folder(self.spark)}/{name}")
+        stored = tables.scan(self.spark, self.store("customers", uploaded))
         return files.preview(stored, 5, "customer_id")
 
     def table_overwrite(self) -> DataFrame:
@@ -139,14 +139,39 @@ class Bank(GivenTables):
         )
 
     def table_scan(self) -> DataFrame:
-        name = table_prefix() + "branches"
-        tables.write_table(self.branches, name, f"{shared_folder(self.spark)}/{name}")
-        return tables.scan(self.spark, f"spark_catalog.default.{name}")
+        return tables.scan(self.spark, f"spark_catalog.default.{self.store('branches', self.branches)}")
 
     def ctas(self) -> DataFrame:
         name = table_prefix() + "silver_transactions"
         return tables.create_or_replace(self.spark, name, self.silver_txn, f"{shared_folder(self.spark)}/{name}")
 
+    def store(self, name: str, df: DataFrame) -> str:
+        stored = table_prefix() + name
+        tables.write_table(df, stored, f"{shared_folder(self.spark)}/{stored}")
+        return stored
+
+    def comment(self) -> DataFrame:
+        """A described table: its comment as the catalog returns it, and its rows."""
+        name = self.store("transactions", self.transactions)
+        tables.comment_on(self.spark, name, TRANSACTIONS_COMMENT)
+        return tables.scan(self.spark, name).agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit("transactions").alias("table_name"),
+            F.lit(tables.comment_of(self.spark, name)).alias("comment"),
+            "row_count",
+        )
+
+    def tagged_columns(self) -> DataFrame:
+        """The key and the columns that a stored table has tagged as personal."""
+        stored = tables.scan(self.spark, self.store("customers", self.tagged_customers))
+        return stored.select("customer_id", *columns_with_tag(stored, "pii", "true"))
+
+    def listed_tags(self) -> DataFrame:
+        """The tags of two stored tables."""
+        return tag_listing({
+            "customers": tables.scan(self.spark, self.store("customers", self.tagged_customers)),
+            "branches": tables.scan(self.spark, self.store("branches", self.tagged_branches)),
+        })
+
     # Governance
 
     def masked_twice_tagged(self) -> DataFrame:
@@ -203,6 +228,9 @@ JOBS: dict[str, Callable[[Bank], DataFrame]] = {
     "sink_table_overwrite": lambda b: b.table_overwrite(),
     "sink_ctas_replace": lambda b: b.ctas(),
     "bronze_ingest_counts": lambda b: b.ingest_counts(),
+    "meta_comment": lambda b: b.comment(),
+    "meta_set_tag": lambda b: b.tagged_columns(),
+    "meta_tag_listing": lambda b: b.listed_tags(),
     # Silver and gold
     "join_customer_branch": lambda b: b.profile,
     "agg_accounts_per_customer": lambda b: M.agg_accounts_per_customer(b.accounts),

@@ -333,6 +333,13 @@ QUERIES = {
         f"select '{t}' as table_name, count(*) as \"rows\" from {t}"
         for t in ("accounts", "transactions", "products", "branches", "customers")
     ),
+    "meta_comment": """
+select 'transactions' as table_name, 'One row per transaction: amount in MYR, channel, category and merchant.' as comment,
+  count(*) as row_count from transactions""",
+    "meta_set_tag": "select customer_id, region from customers",
+    "meta_tag_listing": """
+select * from (values ('customers', 'region', 'pii', 'true'), ('branches', 'region', 'region_filter', 'true'))
+  as t(table_name, column_name, tag_key, tag_value)""",
     "join_customer_branch": "select * from home",
     "agg_accounts_per_customer": "select * from held",
     "agg_avg_balance_per_customer":

@@ -16,6 +16,12 @@ def scan(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
+def register_views(tables: Mapping[str, DataFrame]) -> None:
+    """Make frames available to SQL text under their names."""
+    for name, df in tables.items():
+        df.createOrReplaceTempView(name)
+
+
 def write_table(
     df: DataFrame,
     name: str,
