@@ -15,9 +15,10 @@ from bankspark.functions.text import amount_myr, rate_pct, tokens, words
 WORDS_PER_CHUNK = 200
 LINE_CHARS = 92
 SEPARATOR = ":  "
-# Marks where a heading starts; a control character that text does not contain.
-_MARK = "\u0001"
-_HEADING_START = r"(?md)^(?=.*[^ \t\r\n])(?!.*:  )"
+# Every line gets a line feed in front; then blank lines go, and a line without
+# the separator gets a second line feed, which nothing else in the text has.
+_BLANK_LINE = r"\n[ \t\r]*(?=\n|\z)"
+_HEADING_START = r"(?d)\n(?!.*:  )"
 
 RATE_LABEL = "Profit rate"
 
@@ -63,8 +64,9 @@ def docs_facts(sheets: DataFrame) -> DataFrame:
     ``text`` are carried along.
     """
     keep = [c for c in sheets.columns if c != "text"]
-    marked = F.regexp_replace("text", F.lit(_HEADING_START), F.lit(_MARK))
-    sections = sheets.select(*keep, F.posexplode(F.split(marked, _MARK)).alias("section_no", "body"))
+    packed = F.regexp_replace(F.concat(F.lit("\n"), "text"), _BLANK_LINE, "")
+    marked = F.regexp_replace(packed, _HEADING_START, "\n\n")
+    sections = sheets.select(*keep, F.posexplode(F.split(marked, "\n\n")).alias("section_no", "body"))
     lines = sections.select(
         *keep,
         F.when(F.col("section_no") > 0, F.substring_index("body", "\n", 1)).alias("section"),
@@ -147,15 +149,28 @@ def docs_catalog_reconcile(catalog: DataFrame, sheets: DataFrame, key: str = "pr
 def docs_term_stats(documents: DataFrame) -> DataFrame:
     """The index: (doc_id, term, tf, doc_len), each term of each document and its length in terms.
 
+    A document is one row, so its terms are counted inside that row: they are
+    sorted, and the distance between the starts of two runs is a term's count.
+    No posting is shuffled.
+
     Document frequencies are a table of their own, see ``docs_document_frequency``:
     ranking needs them for the question's terms only, and joining them to every
-    posting would move the whole index once more.
+    posting would move the whole index.
     """
-    tokenised = documents.select("doc_id", tokens("text").alias("terms"))
-    return (
-        tokenised.select("doc_id", F.size("terms").cast("bigint").alias("doc_len"), F.explode("terms").alias("term"))
-        .groupBy("doc_id", "doc_len", "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
+    runs = (
+        documents.select("doc_id", F.sort_array(tokens("text")).alias("terms"))
+        .withColumn("n", F.size("terms"))
+        .withColumn("starts", F.when(F.col("n") > 0, F.filter(
+            F.sequence(F.lit(0), F.col("n") - 1),
+            lambda i: (i == 0) | (F.get("terms", i) != F.get("terms", i - 1)),
+        )))
+    )
+    postings = F.transform("starts", lambda start, run: F.struct(
+        F.get("terms", start).alias("term"),
+        (F.coalesce(F.get("starts", run + 1), F.col("n")) - start).cast("bigint").alias("tf"),
+    ))
+    return runs.select("doc_id", F.col("n").cast("bigint").alias("doc_len"), F.inline(postings)).select(
+        "doc_id", "term", "tf", "doc_len"
     )
 
 

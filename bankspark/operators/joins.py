@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from bankspark.sources.literals import literal_table
 
-SALTS = 16
+SALTS = 8
 LOOKUP_ROWS = 10_000
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     LogisticRegression,
@@ -13,7 +13,7 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import IndexToString, StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -63,22 +63,20 @@ def _ready(features: DataFrame) -> DataFrame:
 def train(features: DataFrame) -> Trained:
     """Fit every candidate on the train part and rank them on the test part.
 
-    Inputs are assembled once and kept on memory and disk while the models
-    train; a lost executor recomputes its part from the feature table.
+    The feature table is computed once and its assembled inputs are kept on
+    memory and disk while the models train; a lost executor recomputes its part.
     """
-    data = ml_split(_ready(features))
-    indexer: StringIndexerModel = StringIndexer(
-        inputCol=LABEL, outputCol="label_index", stringOrderType="alphabetAsc", handleInvalid="keep"
-    ).fit(data)
     assembler = VectorAssembler(inputCols=INPUTS, outputCol="inputs")
-    namer = IndexToString(inputCol="prediction", outputCol="predicted_offer", labels=indexer.labels)
-    prepared = (
-        Pipeline(stages=[indexer, assembler]).fit(data).transform(data)
-        .select("customer_id", "split", "inputs", "label_index")
+    data = (
+        assembler.transform(ml_split(_ready(features)))
+        .select("split", "inputs", LABEL)
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
     try:
-        train_part, test_part = prepared.filter("split = 'train'"), prepared.filter("split = 'test'")
+        indexer = StringIndexer(inputCol=LABEL, outputCol="label_index", stringOrderType="alphabetAsc").fit(data)
+        namer = IndexToString(inputCol="prediction", outputCol="predicted_offer", labels=indexer.labels)
+        indexed = indexer.transform(data)
+        train_part, test_part = indexed.filter("split = 'train'"), indexed.filter("split = 'test'")
         models, scores = {}, []
         for name, classifier in candidates().items():
             fitted = classifier.fit(train_part)
@@ -89,7 +87,7 @@ def train(features: DataFrame) -> Trained:
             models[name] = PipelineModel(stages=[assembler, fitted, namer])
             scores.append((name, f1, accuracy))
     finally:
-        prepared.unpersist()
+        data.unpersist()
     scores.sort(key=lambda s: (-s[1], s[0]))
     return Trained(scores, models)
 

@@ -102,6 +102,23 @@ def test_facts(spark):
     ], key=str)
 
 
+LINES = st.lists(st.sampled_from(["Head", "a:  1", "b: one blank", "", "  ", "\t", ":  ", "c:  2:  3", "\u0001x"]), max_size=12)
+
+
+@QUIET
+@given(lines=LINES)
+def test_facts_follow_the_line_rule(spark, lines):
+    section, want = None, []
+    for line in lines:
+        if ":  " in line:
+            label, value = line.split(":  ", 1)
+            want.append((section, label, value))
+        elif line.strip():
+            section = line
+    got = [(r["section"], r["label"], r["value"]) for r in D.docs_facts(_docs(spark, "\n".join(lines))).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
 def test_parsers(spark):
     df = spark.createDataFrame(
         [("4.50% per annum (fixed)",), ("~6% per annum",), ("RM1,000 initial, RM100 later",), ("RM12.50",), ("Nil",)],
