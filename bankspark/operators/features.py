@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from bankspark.functions.dates import whole_months
 from bankspark.functions.money import avg_money, cents, from_cents, ratio2, sum_money
-from bankspark.schemas import INCOME_BANDS
+from bankspark.functions.sets import count_distinct_known
+from bankspark.schemas import CATEGORIES, INCOME_BANDS
 
 # The channels that count as digital in the engagement score, and
 # the product behind each holding flag.
@@ -46,7 +47,7 @@ def feat_txn(transactions: DataFrame, as_of: dt.date | None = None, window_days:
         F.count(F.lit(1)).alias("txn_count_90d"),
         avg_money("amount_myr").alias("avg_txn_amount"),
         sum_money("amount_myr").alias("total_spend"),
-        F.count_distinct("category").alias("category_variety"),
+        count_distinct_known("category", CATEGORIES).alias("category_variety"),
         F.count_if(F.col("channel").isin(DIGITAL_CHANNELS)).alias("digital_txns"),
     )
 

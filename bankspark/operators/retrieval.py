@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from bankspark.functions.text import tokens
 from bankspark.operators.quality import union_all
+from bankspark.sources.scratch import store
 
 # Executors get the scorers with the task, so this package need not be installed there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -166,7 +167,8 @@ def _bm25_block(documents: DataFrame, asked_terms: DataFrame, k: int) -> DataFra
 
     counter = CountVectorizerModel.from_vocabulary(list(vocabulary), inputCol="terms", outputCol="counts")
     sparse = F.unwrap_udt("counts")
-    counted = (
+    # Tokenising is the expensive part, so the counts are stored for the two jobs that read them.
+    counted = store(
         counter.transform(documents.select("doc_id", tokens(F.coalesce("text", F.lit(""))).alias("terms")))
         .select(
             "doc_id", F.size("terms").alias("doc_len"),
@@ -174,7 +176,7 @@ def _bm25_block(documents: DataFrame, asked_terms: DataFrame, k: int) -> DataFra
         )
     )
 
-    # One pass for the corpus figures; the pseudo term -1 stands for every document.
+    # The corpus figures; the pseudo term -1 stands for every document.
     figures = (
         counted.select("doc_len", F.explode(F.concat(F.array(F.lit(-1)), "indices")).alias("term"))
         .groupBy("term")

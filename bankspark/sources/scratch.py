@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
@@ -26,6 +26,16 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/bankspark-{uuid.uuid4().hex}"
 
 
+def store(df: DataFrame) -> DataFrame:
+    """Write a frame that several jobs read to the shared folder, and read it from there.
+
+    Unlike a cache it outlives a lost executor, and nothing is computed twice.
+    """
+    path = shared_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def table_prefix() -> str:
     """A prefix that keeps the tables of one run apart from those of another."""
     return f"run_{uuid.uuid4().hex[:12]}_"

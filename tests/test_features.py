@@ -149,3 +149,15 @@ def test_months_since_last_product(one_customer):
     customers, _, accounts, _ = one_customer
     rows = {r[0]: r[1] for r in E.feat_months_since_last_product(customers, accounts, AS_OF).collect()}
     assert rows == {"C1": 7, "C2": None}
+
+
+def test_known_and_unknown_values_are_counted_exactly(spark):
+    from bankspark.functions.sets import count_distinct_known
+
+    rows = [("a", v) for v in ("Fuel", "Fuel", "Dining", "other", "other", "more", None)]
+    rows += [("b", None), ("c", "Cash Withdrawal")]
+    df = spark.createDataFrame(rows, "k string, category string")
+    counted = df.groupBy("k").agg(count_distinct_known("category", S.CATEGORIES).alias("n"),
+                                  F.count_distinct("category").alias("plain"))
+    assert {r["k"]: r["n"] for r in counted.collect()} == {"a": 4, "b": 0, "c": 1}
+    assert counted.filter("n <> plain").count() == 0
