@@ -17,7 +17,7 @@ GIVEN = (
 ).split()
 
 
-def reference(sf_dir: str) -> duckdb.DuckDBPyConnection:
+def given_views(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     con.execute("set timezone = 'UTC'")
     for table in GIVEN:
@@ -61,7 +61,7 @@ def main(sf_dir: str, names: list[str]) -> int:
     from tests.session import local_session
 
     spark = local_session()
-    con = reference(sf_dir)
+    con = given_views(sf_dir)
     queries, twins = entry.queries(), entry.oracle_sql()
     failed = 0
     for name in names or queries:

@@ -9,7 +9,7 @@ from bankspark import schemas as S
 from bankspark.operators import governance as G
 from bankspark.sources.tags import set_tag, tag_listing, tags_of
 
-# Branches per region of the reference population.
+# Branches per region.
 BRANCHES_PER_REGION = {"Central": 3, "Southern": 5, "Northern": 6, "East Coast": 5, "East Malaysia": 5}
 MASK, ROWS = G.MaskPolicy("mask"), G.RowFilterPolicy("rows")
 

@@ -209,3 +209,47 @@ def test_scorers_travel_with_the_task():
     done = subprocess.run(
         [sys.executable, "-c", script], input=cloudpickle.dumps(scorer).hex(), cwd="/", text=True, capture_output=True)
     assert done.stdout.split() == ["2", "False"], done.stderr
+
+
+@pytest.fixture()
+def no_broadcast(spark):
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for key in keys:
+        spark.conf.set(key, "-1")
+    yield
+    for key in keys:
+        spark.conf.unset(key)
+
+
+def _optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_keys_are_counted_before_they_look_for_a_parent(hot, no_broadcast):
+    customers, transactions = hot
+    parents = customers.select("customer_id")
+    orphans = C._orphans("fk", transactions, "transactions", "customer_id", parents, "customer_id")
+    plan = _optimized(orphans)
+    assert plan.index("Join LeftAnti") < plan.index("Aggregate [customer_id")
+    assert orphans.first()["violations"] == 0
+
+
+def test_charts_join_what_was_added_up(hot, no_broadcast):
+    customers, transactions = hot
+    for chart in (Q.dash_spend_by_category, Q.dash_customers_by_state, Q.dash_spend_by_month,
+                  Q.dash_avg_txn_by_channel):
+        plan = _optimized(chart(customers, transactions))
+        assert plan.index("Join Inner") < plan.index("Aggregate [customer_id")
+
+
+def test_filters_reach_the_customers_before_they_are_salted(spark, small_dir):
+    plan = _optimized(entry.queries()["dash_filter"](spark, small_dir))
+    salted = plan.index("Generate explode")
+    assert "Filter" not in plan[:salted] or "segment" not in plan[:salted].split("Filter", 1)[1].split("\n")[0]
+    assert "IN (Affluent,Senior)" in plan[salted:]
+
+
+def test_term_counts_and_chunks_need_no_shuffle(spark, small_dir):
+    for name in ("docs_term_stats", "docs_chunk_words", "docs_chunk_wrap", "docs_facts"):
+        plan = entry.queries()[name](spark, small_dir)._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan, name

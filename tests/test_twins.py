@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
-from tests.compare import difference, reference
+from tests.compare import difference, given_views
 
 QUERIES = entry.queries()
 TWINS = entry.oracle_sql()
@@ -14,7 +14,7 @@ ROWS_ONLY = {"src_doc_inventory", "ml_split", "ml_leaderboard", "ml_batch_score"
 
 @pytest.fixture(scope="module")
 def con(small_dir):
-    return reference(small_dir)
+    return given_views(small_dir)
 
 
 def test_twins_cover_all_but_the_known_queries():
