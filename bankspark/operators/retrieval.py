@@ -35,6 +35,7 @@ TOP_K = 5
 TERMS_PER_BLOCK = 10_000
 VECTORS_PER_BLOCK = 512
 ROWS_PER_STEP = 1024
+CELLS_PER_STEP = 4_000_000
 # The two BM25 parameters.
 K1 = 1.2
 B = 0.75
@@ -83,10 +84,12 @@ class BestPerQuestion:
 BEST_SCHEMA = "question_id bigint, doc_id bigint, score double"
 
 
-def _in_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _in_parts(batches: Iterator[pa.RecordBatch], cells_per_row: int) -> Iterator[pa.RecordBatch]:
+    """Slices of the batches, so small that the work arrays of one slice stay within ``CELLS_PER_STEP``."""
+    rows = max(1, min(ROWS_PER_STEP, CELLS_PER_STEP // max(1, cells_per_row)))
     for batch in batches:
-        for start in range(0, batch.num_rows, ROWS_PER_STEP):
-            yield batch.slice(start, ROWS_PER_STEP)
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
 
 
 def _question_blocks(questions: DataFrame, weights: DataFrame, bound: int) -> list[DataFrame]:
@@ -138,7 +141,7 @@ def _bm25_scorer(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = BestPerQuestion(question_ids, k)
-        for part in _in_parts(batches):
+        for part in _in_parts(batches, len(term_of)):
             rows = part.num_rows
             term = part.column("indices").flatten().to_numpy(zero_copy_only=False)
             tf = part.column("values").flatten().to_numpy(zero_copy_only=False)
@@ -223,7 +226,7 @@ def _cosine_scorer(
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = BestPerQuestion(question_ids, k)
-        for part in _in_parts(batches):
+        for part in _in_parts(batches, len(question_ids)):
             numbers = part.column("embedding").flatten().to_numpy(zero_copy_only=False)
             vectors = _unit(numbers.astype(np.float64).reshape(part.num_rows, questions.shape[1]))
             best.offer(part.column("doc_id").to_numpy(), np.round(vectors @ questions.T, COSINE_PLACES))
@@ -239,6 +242,8 @@ def docs_cosine_topk(
 
     Returns (question_id, rank, doc_id, score), exact over all vectors.
     """
+    vectors = vectors.filter(F.col("embedding").isNotNull())
+    questions = questions.filter(F.col("embedding").isNotNull())
     weights = questions.select("question_id", F.lit(1).alias("weight"))
     candidates = []
     for block in _question_blocks(questions, weights, per_block):

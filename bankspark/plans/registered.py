@@ -139,7 +139,7 @@ class Bank(GivenTables):
         )
 
     def table_scan(self) -> DataFrame:
-        return tables.scan(self.spark, f"spark_catalog.default.{self.store('branches', self.branches)}")
+        return tables.scan(self.spark, f"spark_catalog.default.{self.store('customers', self.customers)}")
 
     def ctas(self) -> DataFrame:
         name = table_prefix() + "silver_transactions"

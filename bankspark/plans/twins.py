@@ -325,7 +325,7 @@ _SUM_BY = _total("amount_myr")
 QUERIES = {
     "src_csv_infer": "select * from accounts",
     "src_customer_upload": "select * from customers order by customer_id limit 5",
-    "src_table_scan": "select * from branches",
+    "src_table_scan": "select * from customers",
     "src_sample_rows": "select * from customers order by customer_id limit 5",
     "sink_table_overwrite": "select customer_id, age, segment from customers",
     "sink_ctas_replace": "select * from silver_txn",

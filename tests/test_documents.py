@@ -178,7 +178,8 @@ def brute_bm25(docs, questions, k):
 
 
 @pytest.mark.parametrize("terms_per_block", [10_000, 7])
-def test_bm25_matches_brute_force(spark, terms_per_block):
+def test_bm25_matches_brute_force(spark, monkeypatch, terms_per_block):
+    monkeypatch.setattr(retrieval, "CELLS_PER_STEP", 400)
     rng = np.random.default_rng(3)
     vocabulary = [f"t{i}" for i in range(40)]
     docs = [(i, " ".join(rng.choice(vocabulary, rng.integers(1, 60)))) for i in range(200)]
@@ -197,14 +198,16 @@ def test_bm25_without_answers(spark):
 
 
 @pytest.mark.parametrize("per_block", [512, 2])
-def test_cosine_matches_brute_force(spark, per_block):
+def test_cosine_matches_brute_force(spark, monkeypatch, per_block):
+    monkeypatch.setattr(retrieval, "CELLS_PER_STEP", 40)
     rng = np.random.default_rng(5)
     vectors = rng.normal(size=(300, 8))
     vectors[200:] = vectors[7]  # a third are copies
     vectors[3] = 0
     asked = rng.normal(size=(9, 8))
     docs = spark.createDataFrame(
-        [(i, v.tolist()) for i, v in enumerate(vectors)], "doc_id bigint, embedding array<float>").repartition(4)
+        [*((i, v.tolist()) for i, v in enumerate(vectors)), (300, None)], "doc_id bigint, embedding array<float>",
+    ).repartition(4)
     questions = spark.createDataFrame(
         [(i, v.tolist()) for i, v in enumerate(asked)], "question_id bigint, embedding array<double>")
     got = retrieval.docs_cosine_topk(docs, questions, 4, per_block).collect()
