@@ -259,7 +259,7 @@ def docs_cosine_topk(
 def topic_vectors(vectors: DataFrame) -> DataFrame:
     """One question vector per label: the mean of all its vectors, as (question_id, embedding)."""
     mean = Summarizer.mean(array_to_vector("embedding"))
-    return vectors.groupBy("label").agg(mean.alias("mean")).select(
+    return vectors.filter(F.col("embedding").isNotNull()).groupBy("label").agg(mean.alias("mean")).select(
         F.col("label").cast("bigint").alias("question_id"),
         vector_to_array("mean").alias("embedding"),
     )

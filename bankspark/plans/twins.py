@@ -30,6 +30,15 @@ def _mean(column: str) -> str:
     return _two(f"{_total(column)} / count({column})")
 
 
+def _zero_if_missing(*columns: str) -> str:
+    return ", ".join(f"coalesce({c}, 0) as {c}" for c in columns)
+
+
+# The product behind each holding flag.
+HOLDINGS = {
+    "has_home": "P05", "has_vehicle": "P06", "has_personal": "P04",
+    "has_term_deposit": "P02", "has_card": "P10", "has_investment": "P11",
+}
 REGION = """case r_name when 'AFRICA' then 'Central' when 'AMERICA' then 'East Coast'
   when 'ASIA' then 'East Malaysia' when 'EUROPE' then 'Northern' when 'MIDDLE EAST' then 'Southern' end"""
 
@@ -121,13 +130,10 @@ select customer_id, count(*) as txn_count_90d, {_mean('amount_myr')} as avg_txn_
   {_total('amount_myr')} as total_spend, count(distinct category) as category_variety,
   count(*) filter (channel in ('Mobile App', 'Internet Banking', 'QR Pay')) as digital_txns
 from transactions group by customer_id""",
-    "per_holder": """
+    "per_holder": f"""
 select customer_id, count(*) as num_products_held,
   cast(coalesce(sum(cast(balance_myr as decimal(18,2))) filter (balance_myr > 0), 0) as double) as total_balance,
-  cast(bool_or(product_id = 'P05') as int) as has_home, cast(bool_or(product_id = 'P06') as int) as has_vehicle,
-  cast(bool_or(product_id = 'P04') as int) as has_personal,
-  cast(bool_or(product_id = 'P02') as int) as has_term_deposit,
-  cast(bool_or(product_id = 'P10') as int) as has_card, cast(bool_or(product_id = 'P11') as int) as has_investment
+  {', '.join(f"cast(bool_or(product_id = '{p}') as int) as {flag}" for flag, p in HOLDINGS.items())}
 from accounts group by customer_id""",
     "tenure": """
 select customer_id, cast(trunc(gap + case when day(later) = day(join_date) then 0
@@ -143,14 +149,10 @@ from customers""",
 select customer_id, case when txn_count_90d > 0
   then {_two('cast(digital_txns as double) / txn_count_90d')} end as digital_engagement_score
 from customers left join per_txn_owner using (customer_id)""",
-    "wide": """
+    "wide": f"""
 select c.customer_id, c.age, c.gender, c.state, c.region, c.segment, c.income_band, tenure_months,
-  coalesce(num_products_held, 0) as num_products_held, coalesce(total_balance, 0) as total_balance,
-  coalesce(has_home, 0) as has_home, coalesce(has_vehicle, 0) as has_vehicle,
-  coalesce(has_personal, 0) as has_personal, coalesce(has_term_deposit, 0) as has_term_deposit,
-  coalesce(has_card, 0) as has_card, coalesce(has_investment, 0) as has_investment,
-  coalesce(txn_count_90d, 0) as txn_count_90d, coalesce(avg_txn_amount, 0) as avg_txn_amount,
-  coalesce(total_spend, 0) as total_spend, coalesce(category_variety, 0) as category_variety,
+  {_zero_if_missing('num_products_held', 'total_balance', *HOLDINGS)},
+  {_zero_if_missing('txn_count_90d', 'avg_txn_amount', 'total_spend', 'category_variety')},
   digital_engagement_score, income_rank
 from customers c join tenure using (customer_id) join scored using (customer_id)
   join ranked using (customer_id) left join per_holder using (customer_id)
