@@ -1,4 +1,4 @@
-"""Joins for hot keys and for sides of a checked size.
+"""Joins for hot keys and for sides of a checked size; unions.
 
 No operator forces a broadcast on a table that grows.  Spark broadcasts a side
 on its own when its size estimate allows it; ``join_lookup`` does the same for
@@ -7,6 +7,9 @@ a derived frame, whose size only a run can tell.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,3 +46,7 @@ def join_lookup(
         return salted_join(big, lookup, key, spread)
     local = literal_table(lookup.sparkSession, [tuple(row) for row in probe], lookup.schema)
     return big.join(F.broadcast(local), key)
+
+
+def union_all(frames: Sequence[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bankspark.functions.money import avg_money, avg_of_cents, cents, from_cents, half_up, sum_money
-from bankspark.operators.joins import salted_join
+from bankspark.operators.combine import salted_join
 from bankspark.operators.medallion import spend_in_cents
 from bankspark.schemas import INCOME_BANDS, SEGMENTS
 

@@ -9,12 +9,12 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bankspark import schemas as S
+from bankspark.operators.combine import union_all
 from bankspark.operators.features import income_rank
 
 # The age limits per segment and the holding rules per product
@@ -52,10 +52,6 @@ def _result(check: str, table: str, violations: Column) -> list[Column]:
     ]
 
 
-def union_all(frames: Sequence[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
-
-
 def check_rows(df: DataFrame, table: str, rules: Mapping[str, Column]) -> DataFrame:
     """Count the rows that break each rule, in one pass; a NULL condition is no violation."""
     counted = df.agg(*[F.count_if(broken).alias(check) for check, broken in rules.items()])

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bankspark.functions.text import tokens
-from bankspark.operators.quality import union_all
+from bankspark.operators.combine import union_all
 from bankspark.sources.scratch import store
 
 # Executors get the scorers with the task, so this package need not be installed there.

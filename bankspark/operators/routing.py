@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bankspark.functions.text import tokens
-from bankspark.operators.joins import LOOKUP_ROWS, join_lookup
+from bankspark.operators.combine import LOOKUP_ROWS, join_lookup
 
 DESCRIPTION_TERMS = 50
 

@@ -17,6 +17,7 @@ from bankspark.operators import offers as O
 from bankspark.operators import quality as C
 from bankspark.operators import retrieval as R
 from bankspark.operators import routing as W
+from bankspark.operators.combine import union_all
 from bankspark.sources import files, tables
 from bankspark.sources.mapping import AS_OF, GivenTables
 from bankspark.sources.scratch import shared_folder, table_prefix
@@ -195,7 +196,7 @@ class Bank(GivenTables):
             "customers": "customer", "accounts": "orders", "transactions": "lineitem",
             "branches": "nation", "silver_customer_dim": "customer", "silver_transactions": "lineitem",
         }
-        return C.union_all([
+        return union_all([
             self.raw(source).agg(F.count(F.lit(1)).alias("expected_rows")).withColumn("table_name", F.lit(table))
             for table, source in sources.items()
         ])

@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 
 from bankspark import schemas as S
 from bankspark.operators import documents as D
-from bankspark.operators import joins, retrieval, routing
+from bankspark.operators import combine, retrieval, routing
 
 QUIET = settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 TEXT = st.text(alphabet="abé €\n\tXY,.:", max_size=300)
@@ -228,7 +228,7 @@ DESCRIPTIONS = [
 ]
 
 
-@pytest.mark.parametrize("max_rows", [joins.LOOKUP_ROWS, 3])
+@pytest.mark.parametrize("max_rows", [combine.LOOKUP_ROWS, 3])
 def test_routing(spark, max_rows):
     terms = routing.described_terms(
         spark.createDataFrame(DESCRIPTIONS, "specialist string, description string"))

@@ -13,7 +13,7 @@ from bankspark import schemas as S
 from bankspark.operators import features as E
 from bankspark.operators import metrics as Q
 from bankspark.operators import quality as C
-from bankspark.operators.joins import join_lookup, salted_join
+from bankspark.operators.combine import join_lookup, salted_join
 
 N = 30_000
 
