@@ -5,10 +5,11 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+from bankspark.plans import registered, twins
 from tests.compare import difference, given_views
 
-QUERIES = entry.queries()
-TWINS = entry.oracle_sql()
+QUERIES = registered.queries()
+TWINS = twins.oracle_sql()
 ROWS_ONLY = {"src_doc_inventory", "ml_split", "ml_leaderboard", "ml_batch_score", "ml_offer_actions"}
 
 
