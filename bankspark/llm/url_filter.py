@@ -85,11 +85,11 @@ def _level(groups: DataFrame, above: DataFrame) -> DataFrame:
             (F.col("a") / (F.col("a") + F.col("b"))).alias("mean"),
         ), "parent",
     )
-    strength = F.broadcast(_strength(placed))  # one row
-    return placed.join(strength, how="cross").select(
+    strength = F.lit(_strength(placed).first()[0])  # one number
+    return placed.select(
         "name", "parent", "n", "bad",
-        (F.col("strength") * F.col("mean") + F.col("bad")).alias("a"),
-        (F.col("strength") * (1 - F.col("mean")) + F.col("n") - F.col("bad")).alias("b"),
+        (strength * F.col("mean") + F.col("bad")).alias("a"),
+        (strength * (1 - F.col("mean")) + F.col("n") - F.col("bad")).alias("b"),
     )
 
 
