@@ -6,7 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bankspark.llm import mixing, sharding, url_filter
+from bankspark.llm import (
+    decontamination,
+    line_dedup,
+    mixing,
+    ngram_join,
+    quality_rules,
+    sharding,
+    token_counts,
+    token_files,
+    url_filter,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,11 +27,23 @@ def _over(job: Callable[..., DataFrame], *tables: str) -> Query:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_line_dedup": _over(line_dedup.op1_line_dedup, "documents"),
+        "op2_token_files": _over(token_files.op2_token_files, "documents"),
+        "op3_decontamination": _over(decontamination.op3_decontamination, "documents", "benchmark"),
+        "op4_quality_rules": _over(quality_rules.op4_quality_rules, "documents"),
+        "op5_token_counts": _over(token_counts.op5_token_counts, "documents"),
         "op6_mixing": _over(mixing.op6_mixing, "documents"),
         "op7_url_filter": _over(url_filter.op7_url_filter, "pages", "labels"),
+        "op8_ngram_join": _over(ngram_join.op8_ngram_join, "documents"),
         "op9_sharding": _over(sharding.op9_sharding, "documents"),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_mixing": mixing.ORACLE, "op7_url_filter": url_filter.ORACLE}
+    return {
+        "op1_line_dedup": line_dedup.ORACLE,
+        "op3_decontamination": decontamination.ORACLE,
+        "op6_mixing": mixing.ORACLE,
+        "op7_url_filter": url_filter.ORACLE,
+        "op8_ngram_join": ngram_join.ORACLE,
+    }
