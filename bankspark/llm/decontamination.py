@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bankspark.llm.rows import row_key, unwrapped, wrapped
 from bankspark.llm.sketch import bit_set, bits_for, held
 from bankspark.llm.words import ALPHANUMERIC, Words, runs, slices, words_of
 from bankspark.sources.scratch import store
@@ -105,9 +106,12 @@ def document_frequencies(docs: DataFrame, sizes: list[int], bits: np.ndarray) ->
     return counted.groupBy("shingle").agg(F.sum("documents").alias("documents"))
 
 
-def prefix_places(docs: DataFrame, sizes: list[int], bits: np.ndarray, window: int, shingle: int) -> DataFrame:
-    """Every document with the places of the prefix shingles in it, each with the words around it."""
+def prefix_places(
+    docs: DataFrame, sizes: list[int], bits: np.ndarray, window: int, shingle: int, carry: tuple[str, ...]
+) -> DataFrame:
+    """Every document's ``carry`` columns (as _0, _1, ...) with the places of the prefix shingles in it, each with the words around it."""
     shared = docs.sparkSession.sparkContext.broadcast(bits)  # of bounded size
+    names = ["row", *(f"_{i}" for i in range(len(carry)))]
     place = pa.struct([("shingle", pa.int64()), ("at", pa.int64()), ("lead", pa.int32()), ("around", pa.string())])
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,21 +133,23 @@ def prefix_places(docs: DataFrame, sizes: list[int], bits: np.ndarray, window: i
                             {"shingle": h, "at": at - int(first[doc]), "lead": at - low, "around": text.decode()}
                         )
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("row"), part.column("doc_id"), pa.array(words.counts), pa.array(found, pa.list_(place))],
-                    ["row", "doc_id", "n_words", "places"],
+                    [*map(part.column, names), pa.array(words.counts), pa.array(found, pa.list_(place))],
+                    [*names, "n_words", "places"],
                 )
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    carried = [F.col(c).alias(f"_{i}") for i, c in enumerate(carry)]
+    fields = "".join(f"_{i} {docs.schema[c].dataType.simpleString()}, " for i, c in enumerate(carry))
     return docs.select(
-        F.monotonically_increasing_id().alias("row"), "doc_id", F.col("text").cast("string").alias("text")
+        F.monotonically_increasing_id().alias("row"), *carried, F.col("text").cast("string").alias("text")
     ).mapInArrow(
-        find,
-        f"row long, doc_id {kind}, n_words long, places array<struct<shingle:long,at:long,lead:int,around:string>>",
+        find, f"row long, {fields}n_words long, places array<struct<shingle:long,at:long,lead:int,around:string>>"
     )
 
 
-def contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
-    """Per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
+def contaminated(
+    docs: DataFrame, items: DataFrame, window: int = WINDOW, shingle: int = SHINGLE, carry: tuple[str, ...] = ("doc_id",)
+) -> DataFrame:
+    """Per document: its ``carry`` columns, n_words, n_hit, n_items, items_sha256, contaminated."""
     cut = store(item_windows(items, window, shingle))
     sizes = [r["size"] for r in cut.select("size").distinct().collect()]  # at most ``shingle`` of them
     shingles = cut.select("shingle").distinct()
@@ -158,7 +164,7 @@ def contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, shingl
         .select("window", "length", "prefix.shingle", "prefix.offset")
     )
     prefixes = windows.select("shingle").distinct()
-    places = store(prefix_places(docs, sizes, bit_set(prefixes, "shingle", bits_for(prefixes.count())), window, shingle))
+    places = store(prefix_places(docs, sizes, bit_set(prefixes, "shingle", bits_for(prefixes.count())), window, shingle, carry))
     begin = F.col("lead") - F.col("offset")
     around = F.split("around", " ")
     standing = (
@@ -180,15 +186,22 @@ def contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, shingl
     )
     items_text = F.array_join(F.array_sort(F.coalesce("items", F.array().cast("array<string>"))), ",")
     return (
-        places.select("row", "doc_id", "n_words").join(hit, "row", "left").join(found, "row", "left")
+        places.drop("places").join(hit, "row", "left").join(found, "row", "left")
         .select(
-            "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
+            *(F.col(f"_{i}").alias(c) for i, c in enumerate(carry)), "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
             F.when(F.col("items").isNull(), 0).otherwise(F.size("items")).cast("long").alias("n_items"),
             F.sha2(items_text, 256).alias("items_sha256"), (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
         )
     )
 
 
+def clean_documents(docs: DataFrame, items: DataFrame, **settings) -> DataFrame:
+    """The documents without any window of an item."""
+    keyed = docs.select("doc_id", "text", row_key().alias("row_key"))
+    found = store(contaminated(keyed, items, carry=("row_key",), **settings).filter("contaminated").select("row_key").distinct())
+    return unwrapped(wrapped(docs, row_key=row_key()).join(found, "row_key", "left_anti"))
+
+
 def op3_decontamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return contaminated(docs, benchmark)
 

@@ -25,6 +25,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from bankspark.llm.rows import row_key, unwrapped, wrapped
 from bankspark.sources.scratch import store
 
 RUN = 3
@@ -36,10 +37,6 @@ def _let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def _row_key() -> Column:
-    return F.xxhash64("doc_id", "text")
-
-
 def _lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
@@ -63,7 +60,7 @@ def fingerprints(docs: DataFrame, run: int = RUN) -> DataFrame:
 
         return F.when(F.size(all_lines) >= run, F.transform(minima, one))
 
-    return docs.select(_row_key().alias("row_key"), "doc_id", F.inline(_let(numbered, around)))
+    return docs.select(row_key().alias("row_key"), "doc_id", F.inline(_let(numbered, around)))
 
 
 def repeated_runs(docs: DataFrame, run: int = RUN) -> DataFrame:
@@ -97,16 +94,17 @@ def repeated_runs(docs: DataFrame, run: int = RUN) -> DataFrame:
 def without_repeated_lines(docs: DataFrame, run: int = RUN) -> DataFrame:
     """The documents with ``text`` rid of later repeated runs, and n_lines and n_deleted."""
     runs = store(repeated_runs(docs, run)).groupBy("row_key").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
-    lines = _lines(F.col("text"))
+    text = F.col("doc").getField("text")
+    lines = _lines(text)
     stays = lambda x, i: ~(x.rlike(HAS_WORD) & F.exists("runs", lambda r: (r.first <= i) & (i <= r.last)))
     kept = F.when(F.col("runs").isNull(), lines).otherwise(F.filter(lines, stays))
-    names = [c for c in docs.columns if c != "text"]
-    joined = docs.withColumn("row_key", _row_key()).join(runs, "row_key", "left")
-    return joined.select(
-        *names, F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"),
-        F.when(F.col("text").isNull(), 0).otherwise(F.size(lines) - F.size(kept)).cast("long").alias("n_deleted"),
-        F.when(F.col("runs").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text"),
+    joined = wrapped(docs, row_key=row_key()).join(runs, "row_key", "left").select(
+        "doc",
+        F.when(text.isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
+        F.when(text.isNull(), 0).otherwise(F.size(lines) - F.size(kept)).cast("long").alias("n_deleted"),
+        F.when(F.col("runs").isNull(), text).otherwise(F.array_join(kept, "\n")).alias("text"),
     )
+    return unwrapped(joined, "n_lines", "n_deleted", "text")
 
 
 def op1_line_dedup(docs: DataFrame) -> DataFrame:

@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from bankspark.llm.rows import unwrapped, wrapped
 from bankspark.sources.scratch import store
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -134,36 +135,43 @@ def by_rank(sources: DataFrame, weights: tuple[int, ...]) -> DataFrame:
     return sources.withColumn("weight", F.element_at(F.array(*map(F.lit, weights)), (rank % len(weights) + 1).cast("int")))
 
 
-def mix(
-    docs: DataFrame,
-    weights: tuple[int, ...] = (3, 1, 2),
-    share: float = 1.5,
-    max_epochs: float = 2.0,
-    seed: int = 7,
-    carry: tuple[str, ...] = ("doc_id",),
-) -> DataFrame:
+def plan(
+    docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, max_epochs: float = 2.0, seed: int = 7,
+    carry: tuple[str, ...] = (),
+) -> tuple[DataFrame, DataFrame]:
+    """Every document's ``carry`` columns (as carry_0, ...), source_key, size and hash; and the plan per source."""
+    key, size, digest = source_key(F.col("source")), word_count(F.col("text")), seeded_hash(F.col("doc_id"), F.col("text"), seed)
+    carried = [F.col(c).alias(f"carry_{i}") for i, c in enumerate(carry)]
+    sized = store(docs.select(*carried, key.alias("source_key"), size.alias("size"), digest.alias("hash")))
+    sources = store(by_rank(sized.groupBy("source_key").agg(F.sum("size").alias("source_size")), weights))
+    return sized, store(cuts(sized, capped_targets(sources, share, max_epochs)))
+
+
+def _copies(digest: Column) -> Column:
+    return F.col("whole") + (digest <= F.col("limit")).cast("long")
+
+
+def mix(docs: DataFrame, carry: tuple[str, ...] = ("doc_id",), **settings) -> DataFrame:
     """The ``carry`` columns of every document with ``size``, ``source_size``, ``target`` and ``copies``.
 
     ``copies`` is how often the mix takes the document: the whole repetitions of its source, and one more for the
     documents of the fractional repetition.
     """
-    key, size, digest = source_key(F.col("source")), word_count(F.col("text")), seeded_hash(F.col("doc_id"), F.col("text"), seed)
-    carried = [F.col(c).alias(f"carry_{c}") for c in carry]
-    sized = store(docs.select(*carried, key.alias("source_key"), size.alias("size"), digest.alias("hash")))
-    sources = store(by_rank(sized.groupBy("source_key").agg(F.sum("size").alias("source_size")), weights))
-    plan = store(cuts(sized, capped_targets(sources, share, max_epochs)))
-    copies = F.col("whole") + (F.col("hash") <= F.col("limit")).cast("long")
-    return sized.join(plan, "source_key").select(
-        *(F.col(f"carry_{c}").alias(c) for c in carry), "size", "source_size", "target", copies.alias("copies")
+    sized, planned = plan(docs, carry=carry, **settings)
+    return sized.join(planned, "source_key").select(
+        *(F.col(f"carry_{i}").alias(c) for i, c in enumerate(carry)),
+        "size", "source_size", "target", _copies(F.col("hash")).alias("copies"),
     )
 
 
-def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
-    """The documents themselves, each as often as the mix takes it."""
-    names = docs.columns
-    taken = mix(docs, carry=tuple(names), **settings).filter(F.col("copies") > 0)
-    repeated = F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))
-    return taken.select(*(F.col(c) for c in names), repeated.alias("_copy")).drop("_copy").select(*names)
+def mixed_documents(docs: DataFrame, seed: int = 7, **settings) -> DataFrame:
+    """The documents themselves, each as often as the mix takes it; their texts are not shuffled."""
+    _, planned = plan(docs, seed=seed, **settings)
+    rows = wrapped(
+        docs, source_key=source_key(F.col("source")), hash=seeded_hash(F.col("doc_id"), F.col("text"), seed)
+    ).join(planned, "source_key")
+    times = rows.select("doc", _copies(F.col("hash")).cast("int").alias("copies")).filter("copies > 0")
+    return unwrapped(times.withColumn("copy", F.explode(F.array_repeat(F.lit(0), F.col("copies")))))
 
 
 def op6_mixing(docs: DataFrame) -> DataFrame:

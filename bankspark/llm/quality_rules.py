@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bankspark.llm.rows import row_key, unwrapped, wrapped
 from bankspark.llm.words import ALPHANUMERIC, NOT_BLANK, Words, mixed, runs, slices, utf8, words_of
 from bankspark.sources.scratch import store
 
@@ -29,8 +30,9 @@ MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 JUDGED_WORDS = 40  # a shorter text is not judged by its histograms
 REFERENCE_WORDS = 2_000  # nor is a text of a language with fewer words
-MAX_CHAR_DISTANCE = 0.30
-MAX_WORD_DISTANCE = 0.60
+#: The largest distances, and what the root of the number of words adds: chance alone moves a short text further.
+MAX_CHAR_DISTANCE, CHAR_SLACK = 0.25, 0.5
+MAX_WORD_DISTANCE, WORD_SLACK = 0.20, 2.0
 
 SYMBOLS = b"#*$%&|<>"
 # Frequent words of four languages.
@@ -175,11 +177,13 @@ def judged(docs: DataFrame, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     lang = f"_{columns.index('lang')}"
     known = store(references(measured, lang))
     placed = measured.withColumn("language", F.coalesce(F.col(lang), F.lit(""))).join(known, "language", "left")
-    far = lambda a, b, most: F.coalesce(distance(F.col(a), F.col(b)) > most, F.lit(False))
+    far = lambda a, b, most, slack: F.coalesce(
+        distance(F.col(a), F.col(b)) > most + slack / F.sqrt("n_words"), F.lit(False)
+    )
     diverges = (
         (F.col("n_words") >= JUDGED_WORDS)
         & (F.coalesce("language_words", F.lit(0)) >= REFERENCE_WORDS)
-        & (far("chars", "all_chars", MAX_CHAR_DISTANCE) | far("common", "all_common", MAX_WORD_DISTANCE))
+        & (far("chars", "all_chars", MAX_CHAR_DISTANCE, CHAR_SLACK) | far("common", "all_common", MAX_WORD_DISTANCE, WORD_SLACK))
     )
     return placed.select(
         *(F.col(f"_{i}").alias(c) for i, c in enumerate(carry)),
@@ -190,5 +194,67 @@ def judged(docs: DataFrame, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     )
 
 
+def kept_documents(docs: DataFrame) -> DataFrame:
+    """The documents that pass."""
+    keyed = docs.select("doc_id", "text", "lang", row_key().alias("row_key"))
+    rejected = store(judged(keyed, carry=("row_key", "lang")).filter("not kept").select("row_key", "lang").distinct())
+    rows = wrapped(docs, row_key=row_key(), lang=F.col("lang"))
+    same = (rows["row_key"] == rejected["row_key"]) & rows["lang"].eqNullSafe(rejected["lang"])
+    return unwrapped(rows.join(rejected, same, "left_anti"))
+
+
 def op4_quality_rules(docs: DataFrame) -> DataFrame:
     return judged(docs).drop("char_distance", "word_distance")
+
+
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_LISTED = ", ".join(f"'{word}'" for word in COMMON_WORDS)
+ORACLE = r"""
+WITH texts AS (
+    SELECT doc_id, coalesce(lang, '') AS lang, coalesce(text, '') AS text,
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+        list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+    FROM documents
+), windows AS (
+    SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i:i + 4]) AS n
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM texts WHERE len(w) >= 5)
+), repeated AS (
+    SELECT doc_id, count(DISTINCT i + k) AS n FROM (SELECT doc_id, i, unnest(range(5)) AS k FROM windows WHERE n > 1) GROUP BY doc_id
+), counts AS (
+    SELECT t.doc_id, lang, text, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+        length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+        (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(r.n, 0)::BIGINT AS n_repeat_words
+    FROM texts t LEFT JOIN repeated r USING (doc_id)
+), failed AS (
+    SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM counts
+), classes(k, others) AS (VALUES
+    (0, '[^a-z]'), (1, '[^A-Z]'), (2, '[^0-9]'), (3, '[^\x20\x09-\x0D]'), (4, '[^.,;:!?''"()\-]'),
+    (5, '[^#$%&*+/<=>@\[\\\]^_`{|}~]'), (6, '[^\x00-\x08\x0E-\x1F\x7F]'), (7, '[^\x{80}-\x{FF}]'), (8, '[^\x{100}-\x{3FF}]'),
+    (9, '[^\x{400}-\x{7FF}]'), (10, '[^\x{800}-\x{FFFF}]'), (11, '[^\x{10000}-\x{10FFFF}]')
+), said AS (
+    SELECT doc_id, unnest(regexp_extract_all(""" + _LOWERED + r""", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM documents
+), histograms AS (
+    SELECT doc_id, 'c' AS kind, k::VARCHAR AS bin, length(regexp_replace(text, others, '', 'g')) AS n FROM counts, classes
+    UNION ALL
+    SELECT doc_id, 'w', CASE WHEN word IN (""" + _LISTED + r""") THEN word ELSE ' other' END, count(*) FROM said GROUP BY ALL
+), bins AS (
+    SELECT h.*, f.lang, f.base_failed, sum(n) OVER (PARTITION BY h.doc_id, kind) AS total FROM histograms h JOIN failed f USING (doc_id)
+), reference AS (
+    SELECT lang, kind, bin, sum(n) AS n, sum(sum(n)) OVER (PARTITION BY lang, kind) AS total
+    FROM bins WHERE NOT base_failed GROUP BY lang, kind, bin
+), languages AS (
+    SELECT lang, sum(n_words) AS words FROM failed WHERE NOT base_failed GROUP BY lang
+), pairs AS (  -- bins that only the reference has add half of its share there
+    SELECT b.doc_id, b.kind, b.n / b.total AS p, coalesce(r.n, 0) / any_value(r.total) OVER (PARTITION BY b.doc_id, b.kind) AS q
+    FROM bins b LEFT JOIN reference r ON b.lang = r.lang AND b.kind = r.kind AND b.bin = r.bin WHERE b.total > 0
+), distances AS (
+    SELECT doc_id, kind, sqrt(greatest(sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END
+        + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2 + (1 - sum(q)) / 2, 0)) AS d
+    FROM pairs GROUP BY doc_id, kind
+)
+SELECT f.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    NOT base_failed AND NOT (n_words >= 40 AND coalesce(g.words, 0) >= 2000
+        AND (coalesce(c.d > 0.25 + 0.5 / sqrt(n_words), false) OR coalesce(w.d > 0.20 + 2.0 / sqrt(n_words), false))) AS kept
+FROM failed f LEFT JOIN languages g USING (lang)
+LEFT JOIN distances c ON c.doc_id = f.doc_id AND c.kind = 'c' LEFT JOIN distances w ON w.doc_id = f.doc_id AND w.kind = 'w'
+"""

@@ -13,6 +13,7 @@ from bankspark.llm import (
     ngram_join,
     quality_rules,
     sharding,
+    substring_dedup,
     token_counts,
     token_files,
     url_filter,
@@ -36,6 +37,7 @@ def queries() -> dict[str, Query]:
         "op7_url_filter": _over(url_filter.op7_url_filter, "pages", "labels"),
         "op8_ngram_join": _over(ngram_join.op8_ngram_join, "documents"),
         "op9_sharding": _over(sharding.op9_sharding, "documents"),
+        "op10_substring_dedup": _over(substring_dedup.op10_substring_dedup, "documents"),
     }
 
 
@@ -43,6 +45,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_line_dedup": line_dedup.ORACLE,
         "op3_decontamination": decontamination.ORACLE,
+        "op4_quality_rules": quality_rules.ORACLE,
         "op6_mixing": mixing.ORACLE,
         "op7_url_filter": url_filter.ORACLE,
         "op8_ngram_join": ngram_join.ORACLE,

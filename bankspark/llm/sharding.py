@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from bankspark.llm.rows import unwrapped, wrapped
 from bankspark.sources.scratch import store
 
 SLOTS = 4096
@@ -94,6 +95,16 @@ def rebalanced(slot_map: DataFrame, slot_bytes: DataFrame, shards: int = SHARDS)
     ).select("version", "virtual_slot", "shard")
 
 
+def _size(text: Column) -> Column:
+    return F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + ROW_BYTES
+
+
+def _versions(sums: DataFrame, shards: int, slots: int, slot_map: DataFrame | None) -> DataFrame:
+    """The map with one more version, rebalanced to the bytes per slot."""
+    before = slot_map if slot_map is not None else first_map(sums.sparkSession, shards, slots)
+    return store(before.unionByName(rebalanced(before, sums.select("virtual_slot", "bytes"), shards)))
+
+
 def shard(
     docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS, carry: tuple[str, ...] = ("doc_id",), slot_map: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
@@ -107,8 +118,8 @@ def shard(
     text = F.coalesce(F.col("text"), F.lit(""))
     records = store(
         docs.select(
-            *(F.col(c).alias(f"carry_{c}") for c in carry),
-            (F.octet_length(text).cast("long") + ROW_BYTES).alias("size"),
+            *(F.col(c).alias(f"carry_{i}") for i, c in enumerate(carry)),
+            _size(F.col("text")).alias("size"),
             F.crc32(text.cast("binary")).alias("text_crc32"),
             F.xxhash64(text).alias("_hash"),
             F.col("doc_id").alias("_id"),
@@ -116,8 +127,7 @@ def shard(
         )
     )
     sums = store(records.groupBy("virtual_slot").agg(F.sum("size").alias("bytes"), F.count("*").alias("records")))
-    before = slot_map if slot_map is not None else first_map(docs.sparkSession, shards, slots)
-    versions = store(before.unionByName(rebalanced(before, sums.select("virtual_slot", "bytes"), shards)))
+    versions = _versions(sums, shards, slots, slot_map)
     ahead = F.sum("records").over(Window.partitionBy("shard").orderBy("virtual_slot").rowsBetween(Window.unboundedPreceding, -1))
     places = store(
         latest(versions).join(sums, "virtual_slot")
@@ -128,13 +138,21 @@ def shard(
         records.withColumn("_within", within)
         .join(places, "virtual_slot")
         .select(
-            *(F.col(f"carry_{c}").alias(c) for c in carry),
+            *(F.col(f"carry_{i}").alias(c) for i, c in enumerate(carry)),
             "size", "text_crc32", "virtual_slot", "shard", (F.col("_ahead") + F.col("_within") - 1).alias("slot"),
         )
     )
     return placed, versions
 
 
+def sharded_documents(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS, slot_map: DataFrame | None = None) -> DataFrame:
+    """The documents with virtual_slot and shard; their texts are not shuffled."""
+    rows = wrapped(docs, virtual_slot=slot_of(F.col("doc_id"), F.col("text"), slots), bytes=_size(F.col("text")))
+    sums = store(rows.groupBy("virtual_slot").agg(F.sum("bytes").alias("bytes")))
+    places = store(latest(_versions(sums, shards, slots, slot_map)).select("virtual_slot", "shard"))
+    return unwrapped(rows.join(places, "virtual_slot"), "virtual_slot", "shard")
+
+
 def op9_sharding(docs: DataFrame) -> DataFrame:
     placed, _ = shard(docs)
     return placed.select(
