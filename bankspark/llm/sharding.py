@@ -2,8 +2,8 @@
 
 A record belongs for good to one of a few thousand virtual slots, by the hash
 of its id.  A versioned map says which shard holds a slot.  Version 0 deals the
-slots out evenly; rebalancing reads the bytes per slot and moves slots from
-shards above the mean to the lightest ones, which gives the next version.  Only
+slots out evenly; rebalancing reads the bytes per slot and moves slots to the
+lightest shards where that levels them, which gives the next version.  Only
 the map is edited: a record never changes its slot, and only the moved slots'
 records change their shard.
 
@@ -46,9 +46,9 @@ def latest(slot_map: DataFrame) -> DataFrame:
 
 
 def rebalanced(slot_map: DataFrame, slot_bytes: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """The next version of a map: slots moved, largest first, from shards above the mean to the lightest.
+    """The next version of a map: slots moved, largest first, to the lightest shard.
 
-    A move must leave the lightest shard lighter than the other was.  The map
+    A move must leave that shard lighter than the other was.  The map
     has a fixed number of slots, so folding over it is bounded whatever the
     number of records; the fold is a SQL aggregate over the sorted slots.
     """
@@ -67,13 +67,11 @@ def rebalanced(slot_map: DataFrame, slot_bytes: DataFrame, shards: int = SHARDS)
     # Stored, so that the optimiser does not work the loads out again in each step of the fold.
     whole = store(current.groupBy("version").agg(slots.alias("slots")).withColumn("loads", per_shard))
 
-    mean = F.aggregate("loads", F.lit(0).cast("long"), lambda t, x: t + x) / F.lit(shards)
-    whole = store(whole.withColumn("mean", mean))
 
     def step(state: Column, slot: Column) -> Column:
         held = F.element_at(state.loads, slot.shard + 1)
         lightest = F.array_min(state.loads)
-        moves = (held > F.col("mean")) & (lightest + slot.bytes < held)
+        moves = lightest + slot.bytes < held
         shard = F.when(moves, (F.array_position(state.loads, lightest) - 1).cast("int")).otherwise(slot.shard)
         return F.element_at(F.transform(F.array(shard), lambda to: placed(state, slot, to)), 1)
 
