@@ -2,8 +2,8 @@
 
 Per document, one pass counts words, symbols, repeated lines and repeated
 windows, a histogram of character classes and one of common words.  The
-histograms of all documents that pass the plain rules add up to a reference
-per language.  A document of enough words whose Jensen-Shannon distance to its
+histograms of all documents that pass the plain rules, each as shares, so that
+no long document weighs more than another, add up to a reference per language.  A document of enough words whose Jensen-Shannon distance to its
 language's reference is too large is rejected; a shorter one, or one whose
 reference has too few words, is not judged by it.
 
@@ -29,6 +29,7 @@ REPEAT_WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 JUDGED_WORDS = 40  # a shorter text is not judged by its histograms
+SHARES = 1_000_000  # a document's parts in its language's reference
 REFERENCE_WORDS = 2_000  # nor is a text of a language with fewer words
 #: The largest distances, and what the root of the number of words adds: chance alone moves a short text further.
 MAX_CHAR_DISTANCE, CHAR_SLACK = 0.25, 0.5
@@ -102,7 +103,7 @@ def measures(docs: DataFrame, common: list[str], carry: list[str]) -> DataFrame:
     listed = words_of(pa.array([" ".join(common)]), NOT_BLANK, lower=False).hashes()
     order = np.argsort(listed)
     ranked = listed[order]
-    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "chars", "common"]
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "chars", "common", "total_chars", "total_common"]
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -126,7 +127,7 @@ def measures(docs: DataFrame, common: list[str], carry: list[str]) -> DataFrame:
                 values = [
                     pa.array(words.counts), pa.array(inside), pa.array(_per_doc(IS_SYMBOL[data], doc_ends)),
                     pa.array(duplicate_lines(column)), pa.array(repeated_words(words, words.hashes())),
-                    _rows(chars), _rows(histogram),
+                    _rows(chars), _rows(histogram), pa.array(chars.sum(axis=1)), pa.array(histogram.sum(axis=1)),
                 ]
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(f"_{i}") for i in range(len(carry))), *values], [*(f"_{i}" for i in range(len(carry))), *names]
@@ -137,7 +138,7 @@ def measures(docs: DataFrame, common: list[str], carry: list[str]) -> DataFrame:
     return docs.select(*carried, F.col("text").cast("string").alias("_text")).mapInArrow(
         measure,
         f"{fields}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-        "chars array<long>, common array<long>",
+        "chars array<long>, common array<long>, total_chars long, total_common long",
     )
 
 
@@ -159,7 +160,8 @@ def references(measured: DataFrame, language: str) -> DataFrame:
     """Per language the summed histograms of the documents that pass the plain rules."""
     widths = {"chars": len(CLASSES), "common": len(COMMON_WORDS) + 1}
     sums = [
-        F.array(*(F.sum(F.element_at(name, i + 1)) for i in range(width))).alias(f"all_{name}") for name, width in widths.items()
+        F.array(*(F.sum(F.expr(f"{name}[{i}] * {SHARES} div nullif(total_{name}, 0)")) for i in range(width))).alias(f"all_{name}")
+        for name, width in widths.items()
     ]
     return measured.filter(~base_failed()).groupBy(F.coalesce(F.col(language), F.lit("")).alias("language")).agg(
         F.sum("n_words").alias("language_words"), *sums
@@ -240,8 +242,8 @@ WITH texts AS (
 ), bins AS (
     SELECT h.*, f.lang, f.base_failed, sum(n) OVER (PARTITION BY h.doc_id, kind) AS total FROM histograms h JOIN failed f USING (doc_id)
 ), reference AS (
-    SELECT lang, kind, bin, sum(n) AS n, sum(sum(n)) OVER (PARTITION BY lang, kind) AS total
-    FROM bins WHERE NOT base_failed GROUP BY lang, kind, bin
+    SELECT lang, kind, bin, sum((n * 1000000) // total) AS n, sum(sum((n * 1000000) // total)) OVER (PARTITION BY lang, kind) AS total
+    FROM bins WHERE NOT base_failed AND total > 0 GROUP BY lang, kind, bin
 ), languages AS (
     SELECT lang, sum(n_words) AS words FROM failed WHERE NOT base_failed GROUP BY lang
 ), pairs AS (  -- bins that only the reference has add half of its share there
