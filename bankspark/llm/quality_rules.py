@@ -20,8 +20,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from bankspark.llm.rows import row_key, unwrapped, wrapped
+from bankspark.llm.rows import unwrapped, wrapped
 from bankspark.llm.words import ALPHANUMERIC, NOT_BLANK, Words, mixed, runs, slices, utf8, words_of
 from bankspark.sources.scratch import store
 
@@ -134,11 +135,10 @@ def measures(docs: DataFrame, common: list[str], carry: list[str]) -> DataFrame:
                 )
 
     carried = [F.col(c).alias(f"_{i}") for i, c in enumerate(carry)]
-    fields = ", ".join(f"_{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(carry))
+    fields = [StructField(f"_{i}", docs.schema[c].dataType) for i, c in enumerate(carry)]
+    fields += [StructField(name, ArrayType(LongType()) if name in ("chars", "common") else LongType()) for name in names]
     return docs.select(*carried, F.col("text").cast("string").alias("_text")).mapInArrow(
-        measure,
-        f"{fields}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-        "chars array<long>, common array<long>, total_chars long, total_common long",
+        measure, StructType(fields)
     )
 
 
@@ -197,12 +197,9 @@ def judged(docs: DataFrame, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
 
 
 def kept_documents(docs: DataFrame) -> DataFrame:
-    """The documents that pass."""
-    keyed = docs.select("doc_id", "text", "lang", row_key().alias("row_key"))
-    rejected = store(judged(keyed, carry=("row_key", "lang")).filter("not kept").select("row_key", "lang").distinct())
-    rows = wrapped(docs, row_key=row_key(), lang=F.col("lang"))
-    same = (rows["row_key"] == rejected["row_key"]) & rows["lang"].eqNullSafe(rejected["lang"])
-    return unwrapped(rows.join(rejected, same, "left_anti"))
+    """The documents that pass; their texts are stored once, not shuffled."""
+    rows = wrapped(docs, text=F.col("text"), lang=F.col("lang"))
+    return unwrapped(judged(rows, carry=("doc",)).filter("kept"))
 
 
 def op4_quality_rules(docs: DataFrame) -> DataFrame:
