@@ -1,9 +1,10 @@
 """Exact money arithmetic.
 
-Amounts arrive as doubles with two decimals.  Summing doubles depends on the
-order of the rows, so every aggregate works on whole cents in a BIGINT: exact,
-order-free, and cheaper per row than a wide DECIMAL.  A sum that leaves the
-BIGINT range raises under ANSI mode instead of wrapping.
+Summing doubles depends on the order of the rows, so every aggregate works on
+whole hundredths of a cent in a BIGINT: exact for amounts of up to four
+decimals, order-free, and cheaper per row than a wide DECIMAL.  A sum is rounded
+to cents once, at its end, half away from zero.  A sum that leaves the BIGINT
+range (nine hundred trillion) raises under ANSI mode instead of wrapping.
 """
 
 from __future__ import annotations
@@ -12,13 +13,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def cents(amount: Column | str) -> Column:
+UNITS_PER_CENT = 100
+
+
+def units(amount: Column | str) -> Column:
+    """An amount in hundredths of a cent."""
     amount = F.col(amount) if isinstance(amount, str) else amount
-    return F.rint(amount * 100).cast("bigint")
+    return F.rint(amount * 100 * UNITS_PER_CENT).cast("bigint")
 
 
-def from_cents(value: Column) -> Column:
-    return value / F.lit(100.0)
+def from_units(value: Column) -> Column:
+    """A sum of units as an amount, rounded to cents."""
+    return half_up(value, F.lit(UNITS_PER_CENT)) / F.lit(100.0)
 
 
 def half_up(numerator: Column, denominator: Column) -> Column:
@@ -33,19 +39,19 @@ def half_up(numerator: Column, denominator: Column) -> Column:
 
 def ratio2(numerator: Column, denominator: Column) -> Column:
     """Ratio of two counts, rounded half up to two decimals."""
-    return from_cents(half_up(numerator * 100, denominator))
+    return half_up(numerator * 100, denominator) / F.lit(100.0)
 
 
 def sum_money(amount: Column | str) -> Column:
-    return from_cents(F.sum(cents(amount)))
+    return from_units(F.sum(units(amount)))
 
 
 def avg_money(amount: Column | str) -> Column:
     """Average rounded half up to two decimals."""
-    in_cents = cents(amount)
-    return from_cents(half_up(F.sum(in_cents), F.count(in_cents)))
+    in_units = units(amount)
+    return avg_of_units(F.sum(in_units), F.count(in_units))
 
 
-def avg_of_cents(total: Column, count: Column) -> Column:
+def avg_of_units(total: Column, count: Column) -> Column:
     """The same average from sums and counts that were aggregated earlier."""
-    return from_cents(half_up(total, count))
+    return half_up(total, count * UNITS_PER_CENT) / F.lit(100.0)

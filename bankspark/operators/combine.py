@@ -1,8 +1,7 @@
-"""Joins for hot keys and for sides of a checked size; unions.
+"""Joins for hot keys; unions.
 
-No operator forces a broadcast on a table that grows.  Spark broadcasts a side
-on its own when its size estimate allows it; ``join_lookup`` does the same for
-a derived frame, whose size only a run can tell.
+No operator forces a broadcast on a table that grows: Spark broadcasts a side
+on its own when its size allows it, before the run or during it.
 """
 
 from __future__ import annotations
@@ -10,42 +9,19 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bankspark.sources.literals import literal_table
 
-SALTS = 8
-LOOKUP_ROWS = 10_000
+def splittable_join(big: DataFrame, other: DataFrame, key: str) -> DataFrame:
+    """Inner join of a large frame, in which one key may own much of the rows, to one with few rows per key.
 
-
-def salted_join(big: DataFrame, other: DataFrame, key: str, spread: Column, salts: int = SALTS) -> DataFrame:
-    """Inner join of a large frame, in which one key may own much of the rows, to a smaller one.
-
-    Rows of ``big`` that share a key are spread over ``salts`` tasks by the hash
-    of ``spread``, and each row of ``other`` is offered to all of them.  Both
-    sides get an exchange of their own, so adaptive execution can split a task
-    that is still too large.
-    """
-    salt = "_salt"
-    left = big.withColumn(salt, F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
-    right = other.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, [key, salt]).drop(salt)
-
-
-def join_lookup(
-    big: DataFrame, lookup: DataFrame, key: str, spread: Column, max_rows: int = LOOKUP_ROWS
-) -> DataFrame:
-    """Inner join to a lookup: broadcast up to ``max_rows`` rows, salted beyond.
-
-    The probe reads one row more than the bound, so it never fetches a large
-    lookup, and one beyond the bound takes part whole in the salted join.
+    Adaptive execution splits the tasks of a hot key, but only where both sides
+    get an exchange for the join.  A side that is already placed by the key, as
+    an aggregate is, would get none; a second key column, always 0, sees to it.
     """
-    probe = lookup.limit(max_rows + 1).collect()
-    if len(probe) > max_rows:
-        return salted_join(big, lookup, key, spread)
-    local = literal_table(lookup.sparkSession, [tuple(row) for row in probe], lookup.schema)
-    return big.join(F.broadcast(local), key)
+    second = F.pmod(F.xxhash64(key), F.lit(1))
+    return big.withColumn("_zero", second).join(other.withColumn("_zero", second), [key, "_zero"]).drop("_zero")
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:

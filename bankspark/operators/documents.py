@@ -7,6 +7,9 @@ Python, and every text is processed whole.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,10 +18,14 @@ from bankspark.functions.text import amount_myr, rate_pct, tokens, words
 WORDS_PER_CHUNK = 200
 LINE_CHARS = 92
 SEPARATOR = ":  "
-# Every line gets a line feed in front; then blank lines go, and a line without
-# the separator gets a second line feed, which nothing else in the text has.
+# The section names of a disclosure sheet.
+SECTIONS = (
+    "Product Overview", "Key Product Features", "Eligibility", "Fees and Charges", "Key Risks", "Protection",
+    "Important Notice",
+)
+# Every line gets a line feed in front; then blank lines go, and a heading gets
+# a second line feed, which nothing else in the text has.
 _BLANK_LINE = r"\n[ \t\r]*(?=\n|\z)"
-_HEADING_START = r"(?d)\n(?!.*:  )"
 
 RATE_LABEL = "Profit rate"
 
@@ -43,7 +50,7 @@ def docs_chunk_words(documents: DataFrame, size: int = WORDS_PER_CHUNK) -> DataF
 def wrap_lines(text: Column | str, max_chars: int = LINE_CHARS) -> Column:
     """Greedy lines of at most ``max_chars``; a longer word stays whole on a line of its own."""
     one_line = F.array_join(words(text), " ")
-    pattern = rf"([^ ]{{{max_chars + 1},}}|.{{1,{max_chars}}})(?: |$)"
+    pattern = rf"(?s)([^ ]{{{max_chars + 1},}}|.{{1,{max_chars}}})(?: |\z)"
     return F.regexp_extract_all(one_line, F.lit(pattern), F.lit(1))
 
 
@@ -56,28 +63,29 @@ def docs_chunk_wrap(documents: DataFrame, max_chars: int = LINE_CHARS) -> DataFr
     )
 
 
-def docs_facts(sheets: DataFrame) -> DataFrame:
-    """'label:  value' lines with the heading above them.
+def docs_facts(sheets: DataFrame, sections: Sequence[str] = SECTIONS) -> DataFrame:
+    """'label:  value' lines and paragraphs, each with the section it stands in.
 
-    A line without the separator is a heading, blank lines are skipped, and a
-    fact before the first heading has a NULL section.  Columns other than
-    ``text`` are carried along.
+    A line that is a section's name is a heading.  Any other line without the
+    separator is a paragraph: its label is NULL and its value the line.  Blank
+    lines are skipped; what stands before the first heading has a NULL section.
+    Columns other than ``text`` are carried along.
     """
     keep = [c for c in sheets.columns if c != "text"]
+    heading = rf"\n(?=(?:{'|'.join(map(re.escape, sections))})[ \t\r]*(?:\n|\z))"
     packed = F.regexp_replace(F.concat(F.lit("\n"), "text"), _BLANK_LINE, "")
-    marked = F.regexp_replace(packed, _HEADING_START, "\n\n")
-    sections = sheets.select(*keep, F.posexplode(F.split(marked, "\n\n")).alias("section_no", "body"))
-    lines = sections.select(
-        *keep,
-        F.when(F.col("section_no") > 0, F.substring_index("body", "\n", 1)).alias("section"),
-        F.explode(F.split("body", "\n")).alias("line"),
-    )
+    marked = F.regexp_replace(packed, heading, "\n\n")
+    bodies = sheets.select(*keep, F.posexplode(F.split(marked, "\n\n")).alias("section_no", "body"))
+    named = F.when(F.col("section_no") > 0, F.regexp_replace(F.substring_index("body", "\n", 1), r"[ \t\r]+\z", ""))
+    rest = F.split("body", "\n")
+    rest = F.when(F.col("section_no") > 0, F.slice(rest, 2, F.greatest(F.size(rest) - 1, F.lit(0)))).otherwise(rest)
+    lines = bodies.select(*keep, named.alias("section"), F.explode(rest).alias("line")).filter("line != ''")
     at = F.instr("line", SEPARATOR)
-    return lines.filter(at > 0).select(
+    return lines.select(
         *keep,
         "section",
-        F.substring_index("line", SEPARATOR, 1).alias("label"),
-        F.col("line").substr(at + len(SEPARATOR), F.length("line")).alias("value"),
+        F.when(at > 0, F.substring_index("line", SEPARATOR, 1)).alias("label"),
+        F.when(at > 0, F.col("line").substr(at + len(SEPARATOR), F.length("line"))).otherwise(F.col("line")).alias("value"),
     )
 
 
@@ -100,28 +108,17 @@ def docs_label_lookup(
 
 
 def docs_compare_products(facts: DataFrame, first: str, second: str) -> DataFrame:
-    """Each label of two products side by side.
+    """Each label of two products side by side: what every sheet says, with the sheet as the citation.
 
-    Per product: the value in its lowest-numbered sheet, that sheet as the
-    citation, and how many sheets have the label.
+    One row per label, value and sheet.  ``side`` is 'a' for the first product and 'b' for the second, and
+    ``both_sides`` tells whether the other product's sheets have the label too.
     """
-    first_sheet = F.min(F.struct("doc_id", "value"))
-    side_by_side = (
-        facts.filter(F.col("product").isin(first, second))
-        .withColumn("side", F.when(F.col("product") == first, "a").otherwise("b"))
-        .groupBy("label")
-        .pivot("side", ["a", "b"])
-        .agg(first_sheet.alias("first"), F.count(F.lit(1)).alias("n"))
-    )
-    return side_by_side.select(
-        "label",
-        F.col("a_first.value").alias("a_value"),
-        F.col("a_first.doc_id").alias("a_doc_id"),
-        F.coalesce("a_n", F.lit(0)).alias("a_sheets"),
-        F.col("b_first.value").alias("b_value"),
-        F.col("b_first.doc_id").alias("b_doc_id"),
-        F.coalesce("b_n", F.lit(0)).alias("b_sheets"),
+    side = F.when(F.col("product") == first, "a").otherwise("b")
+    cited = facts.filter(F.col("product").isin(first, second) & F.col("label").isNotNull()).select(
+        "label", side.alias("side"), "value", "doc_id"
     )
+    known = cited.groupBy("label").agg((F.min("side") != F.max("side")).alias("both_sides"))
+    return cited.join(known, "label")
 
 
 def sheet_rates(facts: DataFrame, key: str = "product") -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bankspark.functions.dates import whole_months
-from bankspark.functions.money import avg_money, cents, from_cents, ratio2, sum_money
+from bankspark.functions.money import avg_money, units, from_units, ratio2, sum_money
 from bankspark.functions.sets import count_distinct_known
 from bankspark.schemas import CATEGORIES, INCOME_BANDS
 
@@ -54,14 +54,14 @@ def feat_txn(transactions: DataFrame, as_of: dt.date | None = None, window_days:
 
 def feat_acct(accounts: DataFrame) -> DataFrame:
     """Holdings per customer, closed and dormant accounts included; only positive balances add up."""
-    positive = F.when(F.col("balance_myr") > 0, cents("balance_myr")).otherwise(F.lit(0))
+    positive = F.when(F.col("balance_myr") > 0, units("balance_myr")).otherwise(F.lit(0))
     flags = [
         F.max(F.when(F.col("product_id") == product, 1).otherwise(0)).alias(flag)
         for flag, product in FLAG_PRODUCTS.items()
     ]
     return accounts.groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("num_products_held"),
-        from_cents(F.sum(positive)).alias("total_balance"),
+        from_units(F.sum(positive)).alias("total_balance"),
         *flags,
     )
 

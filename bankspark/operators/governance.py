@@ -18,7 +18,6 @@ from bankspark.schemas import MASKED
 from bankspark.sources.tags import columns_with_tag
 
 TEAM_PREFIX = "team_"
-MAX_GROUPS = 1_000
 
 
 @dataclass(frozen=True)
@@ -83,37 +82,28 @@ def groups_of(group_members: DataFrame, principal: int) -> DataFrame:
 def register_functions(spark: SparkSession, group_members: DataFrame, principal: int) -> None:
     """The mask and the row filter for SQL text: ``mask_pii(text)`` and ``filter_by_region(region)``.
 
-    Both are temporary SQL functions of the session.  The reader's groups are
-    fixed when the functions are created.
+    Both are temporary SQL functions of the session.  The row filter looks the
+    reader's groups up when a statement runs; Spark makes a semi-join of it.
     """
-    names = [row[0] for row in groups_of(group_members, principal).limit(MAX_GROUPS + 1).collect()]
-    if len(names) > MAX_GROUPS:
-        raise ValueError(f"principal {principal} is in more than {MAX_GROUPS} groups; use enforce")
-    quoted = ", ".join("'" + name.replace("\\", "\\\\").replace("'", "\\'") + "'" for name in sorted(names))
+    groups_of(group_members, principal).createOrReplaceTempView("reader_groups")
     group = f"concat('{TEAM_PREFIX}', lower(replace(region, ' ', '_')))"
-    member = f"{group} IN ({quoted})" if names else "false"
     spark.sql(
         "CREATE OR REPLACE TEMPORARY FUNCTION mask_pii(input_value STRING) RETURNS STRING "
         f"RETURN '{MASKED}'"
     )
-    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION filter_by_region(region STRING) RETURNS BOOLEAN RETURN {member}")
+    spark.sql(
+        "CREATE OR REPLACE TEMPORARY FUNCTION filter_by_region(region STRING) RETURNS BOOLEAN "
+        f"RETURN {group} IN (SELECT _group FROM reader_groups)"
+    )
 
 
 def filter_rows(df: DataFrame, region_column: str, group_members: DataFrame, principal: int) -> DataFrame:
-    """Rows whose region team the principal belongs to.
+    """Rows whose region team the principal belongs to, by a semi-join with the principal's groups.
 
-    The reader's own groups are looked up when the plan is built and become a
-    plain predicate on the scan.  A reader in more groups than ``MAX_GROUPS``
-    gets a semi-join instead.  A NULL region matches no group, and a reader in
-    no group sees no row.
+    A NULL region matches no group, and a reader in no group sees no row.
     """
     own = groups_of(group_members, principal)
-    names = [row[0] for row in own.limit(MAX_GROUPS + 1).collect()]
-    if len(names) > MAX_GROUPS:
-        return df.join(own, region_group(region_column) == F.col("_group"), "left_semi")
-    if not names:
-        return df.filter(F.lit(False))
-    return df.filter(region_group(region_column).isin(names))
+    return df.join(own, region_group(region_column) == F.col("_group"), "left_semi")
 
 
 def enforce(df: DataFrame, policies: Sequence[Policy], group_members: DataFrame, principal: int) -> DataFrame:

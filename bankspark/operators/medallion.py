@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bankspark.functions.money import avg_money, cents, sum_money
+from bankspark.functions.money import avg_money, units, sum_money
 
 LARGE_AMOUNT = 1000
 TOP_SPEND = 5000
@@ -111,9 +111,9 @@ def topk_gold_spend(gold: DataFrame, n: int = 10) -> DataFrame:
     return gold.orderBy(F.desc_nulls_last("total_spend_myr"), "customer_id").limit(n)
 
 
-def spend_in_cents(transactions: DataFrame, *dims: str) -> DataFrame:
-    """Transaction cents and counts per customer and further columns: the form joins should take."""
-    in_cents = cents("amount_myr")
+def spend_in_units(transactions: DataFrame, *dims: str) -> DataFrame:
+    """Transaction units (see ``functions.money``) and counts per customer and further columns: the form joins should take."""
+    in_units = units("amount_myr")
     return transactions.groupBy("customer_id", *dims).agg(
-        F.sum(in_cents).alias("spend_cents"), F.count(in_cents).alias("txns")
+        F.sum(in_units).alias("spend_units"), F.count(in_units).alias("txns")
     )

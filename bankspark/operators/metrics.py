@@ -14,9 +14,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bankspark.functions.money import avg_money, avg_of_cents, cents, from_cents, half_up, sum_money
-from bankspark.operators.combine import salted_join
-from bankspark.operators.medallion import spend_in_cents
+from bankspark.functions.money import avg_money, avg_of_units, units, from_units, half_up, sum_money
+from bankspark.operators.combine import splittable_join
+from bankspark.operators.medallion import spend_in_units
 from bankspark.schemas import INCOME_BANDS, SEGMENTS
 
 # The two channels of the analyst term "digital customer", which
@@ -48,27 +48,27 @@ def agg_spend_by_category(transactions: DataFrame) -> DataFrame:
 
 def join_spend_by_segment(customers: DataFrame, transactions: DataFrame) -> DataFrame:
     """Total spend per segment, over customers that have transactions."""
-    per_customer = spend_in_cents(transactions)
+    per_customer = spend_in_units(transactions)
     return (
         customers.select("customer_id", "segment")
         .join(per_customer, "customer_id")
         .groupBy("segment")
-        .agg(from_cents(F.sum("spend_cents")).alias("total_spend"))
+        .agg(from_units(F.sum("spend_units")).alias("total_spend"))
     )
 
 
 def agg_segment_spend(customers: DataFrame, transactions: DataFrame) -> DataFrame:
     """Total spend, distinct customers and spend per customer for each segment."""
-    per_customer = spend_in_cents(transactions)
-    spend, buyers = F.sum("spend_cents"), F.count_distinct("customer_id")
+    per_customer = spend_in_units(transactions)
+    spend, buyers = F.sum("spend_units"), F.count("customer_id")  # one row per customer
     return (
         customers.select("customer_id", "segment")
         .join(per_customer, "customer_id")
         .groupBy("segment")
         .agg(
-            from_cents(spend).alias("total_spend"),
+            from_units(spend).alias("total_spend"),
             buyers.alias("customers"),
-            avg_of_cents(spend, buyers).alias("spend_per_customer"),
+            avg_of_units(spend, buyers).alias("spend_per_customer"),
         )
         .orderBy(F.desc("total_spend"), "segment")
     )
@@ -101,7 +101,7 @@ def dash_dataset(gold: DataFrame, transactions: DataFrame) -> DataFrame:
         "products_held", "total_balance_myr", "total_spend_myr",
     )
     facts = transactions.select("txn_id", "customer_id", "category", "channel", "amount_myr", "txn_date")
-    return salted_join(facts, profile, "customer_id", F.col("txn_id")).select(
+    return splittable_join(facts, profile, "customer_id").select(
         *profile.columns, "category", "channel", "amount_myr", "txn_date"
     )
 
@@ -116,14 +116,14 @@ def apply_filters(df: DataFrame, chosen: Mapping[str, Sequence[str]]) -> DataFra
 
 def _charted(gold: DataFrame, transactions: DataFrame, profile: str | None, *dims: str) -> DataFrame:
     members = gold.select("customer_id", *([profile] if profile else []))
-    return members.join(spend_in_cents(transactions, *dims), "customer_id")
+    return members.join(spend_in_units(transactions, *dims), "customer_id")
 
 
 def dash_spend_by_category(gold: DataFrame, transactions: DataFrame) -> DataFrame:
     return (
         _charted(gold, transactions, None, "category")
         .groupBy("category")
-        .agg(from_cents(F.sum("spend_cents")).alias("total_amount"))
+        .agg(from_units(F.sum("spend_units")).alias("total_amount"))
     )
 
 
@@ -132,8 +132,8 @@ def dash_customers_by_state(gold: DataFrame, transactions: DataFrame) -> DataFra
         _charted(gold, transactions, "state")
         .groupBy("state")
         .agg(
-            F.count_distinct("customer_id").alias("customers"),
-            from_cents(F.sum("spend_cents")).alias("total_amount"),
+            F.count("customer_id").alias("customers"),  # one row per customer
+            from_units(F.sum("spend_units")).alias("total_amount"),
         )
     )
 
@@ -143,7 +143,7 @@ def dash_spend_by_month(gold: DataFrame, transactions: DataFrame) -> DataFrame:
     return (
         _charted(gold, monthly, None, "txn_month")
         .groupBy("txn_month")
-        .agg(from_cents(F.sum("spend_cents")).alias("total_amount"))
+        .agg(from_units(F.sum("spend_units")).alias("total_amount"))
         .orderBy("txn_month")
     )
 
@@ -152,7 +152,7 @@ def dash_avg_txn_by_channel(gold: DataFrame, transactions: DataFrame) -> DataFra
     return (
         _charted(gold, transactions, None, "channel")
         .groupBy("channel")
-        .agg(avg_of_cents(F.sum("spend_cents"), F.sum("txns")).alias("avg_amount"))
+        .agg(avg_of_units(F.sum("spend_units"), F.sum("txns")).alias("avg_amount"))
     )
 
 
@@ -222,14 +222,14 @@ def qa_compare_segments(gold: DataFrame, first: str, second: str) -> DataFrame:
 
 def qa_avg_balance_by_product_type(accounts: DataFrame, products: DataFrame) -> DataFrame:
     """Average balance by product type; accounts are added up per product before the join."""
-    in_cents = cents("balance_myr")
+    in_units = units("balance_myr")
     per_product = accounts.groupBy("product_id").agg(
-        F.sum(in_cents).alias("balance_cents"), F.count(in_cents).alias("accounts")
+        F.sum(in_units).alias("balance_units"), F.count(in_units).alias("accounts")
     )
     return (
         per_product.join(products.select("product_id", "product_type"), "product_id")
         .groupBy("product_type")
-        .agg(avg_of_cents(F.sum("balance_cents"), F.sum("accounts")).alias("avg_balance"))
+        .agg(avg_of_units(F.sum("balance_units"), F.sum("accounts")).alias("avg_balance"))
     )
 
 
@@ -238,7 +238,7 @@ def qa_spend_segment_category(gold: DataFrame, transactions: DataFrame, category
     return (
         _charted(gold, transactions.filter(F.col("category") == category), "segment")
         .groupBy("segment")
-        .agg(from_cents(F.sum("spend_cents")).alias("total_amount"))
+        .agg(from_units(F.sum("spend_units")).alias("total_amount"))
         .orderBy(F.desc("total_amount"), "segment")
     )
 
@@ -285,14 +285,14 @@ def offer_segment_action(features: DataFrame, products: DataFrame) -> DataFrame:
         .select(F.col("product_name").alias("next_best_offer"), F.lit(True).alias("is_financing"))
     )
     per_offer = features.groupBy("segment", "next_best_offer").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(cents("total_spend")).alias("spend_cents")
+        F.count(F.lit(1)).alias("n"), F.sum(units("total_spend")).alias("spend_units")
     )
     ranked = F.when(F.col("is_financing"), F.struct("n", "next_best_offer"))
     return (
         per_offer.join(financing, "next_best_offer", "left")
         .groupBy("segment")
         .agg(
-            from_cents(F.sum("spend_cents")).alias("total_spend"),
+            from_units(F.sum("spend_units")).alias("total_spend"),
             F.max(ranked).alias("best"),
         )
         .select(

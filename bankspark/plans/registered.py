@@ -103,7 +103,7 @@ class Bank(GivenTables):
 
     @property
     def specialists(self) -> DataFrame:
-        return W.frequent_terms(self.raw("documents"), "lang")
+        return W.vocabularies(self.raw("documents"), "lang")
 
     @property
     def vectors(self) -> DataFrame:

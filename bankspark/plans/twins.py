@@ -19,7 +19,7 @@ def _values(rows) -> str:
 
 
 def _total(column: str) -> str:
-    return f"cast(sum(cast({column} as decimal(18,2))) as double)"
+    return f"cast(cast(sum(cast({column} as decimal(18,4))) as decimal(30,2)) as double)"
 
 
 def _two(expression: str) -> str:
@@ -132,7 +132,7 @@ select customer_id, count(*) as txn_count_90d, {_mean('amount_myr')} as avg_txn_
 from transactions group by customer_id""",
     "per_holder": f"""
 select customer_id, count(*) as num_products_held,
-  cast(coalesce(sum(cast(balance_myr as decimal(18,2))) filter (balance_myr > 0), 0) as double) as total_balance,
+  cast(cast(coalesce(sum(cast(balance_myr as decimal(18,4))) filter (balance_myr > 0), 0) as decimal(30,2)) as double) as total_balance,
   {', '.join(f"cast(bool_or(product_id = '{p}') as int) as {flag}" for flag, p in HOLDINGS.items())}
 from accounts group by customer_id""",
     "tenure": """
@@ -183,10 +183,13 @@ select doc_id, product, pos, line, instr(line, ':  ') as sep
 from (select doc_id, product, unnest(string_split(text, chr(10))) as line,
         generate_subscripts(string_split(text, chr(10)), 1) as pos from sheets)""",
     "facts": """
-select doc_id, product, section, substr(line, 1, sep - 1) as label, substr(line, sep + 3) as value
-from (select *, last_value(case when sep = 0 then line end ignore nulls) over (
+select doc_id, product, section, case when sep > 0 then substr(line, 1, sep - 1) end as label,
+  case when sep > 0 then substr(line, sep + 3) else line end as value
+from (select *, last_value(case when heading then rtrim(line, ' ' || chr(9) || chr(13)) end ignore nulls) over (
         partition by doc_id order by pos rows between unbounded preceding and current row) as section
-      from sheet_lines) where sep > 0""",
+      from (select *, rtrim(line, ' ' || chr(9) || chr(13)) in ('Product Overview', 'Key Product Features', 'Eligibility',
+        'Fees and Charges', 'Key Risks', 'Protection', 'Important Notice') as heading from sheet_lines))
+where not heading and rtrim(line, ' ' || chr(9) || chr(13)) <> ''""",
     "term_uses": f"""
 select doc_id, lang, unnest({_TOKENS}) as term from documents""",
     "postings": """
@@ -214,9 +217,7 @@ select cast(t.label as bigint) as question_id, vec_id as doc_id,
   round(list_cosine_similarity(centre, cast(embedding as double[])), 6) as score
 from topics t, embeddings""",
     "described": """
-select lang as specialist, term from (
-  select lang, term, row_number() over (partition by lang order by count(*) desc, term) as place
-  from term_uses group by lang, term) where place <= 50""",
+select distinct lang as specialist, term from term_uses""",
     "turn_terms": f"""
 select distinct conv_id, turn, unnest({_TOKENS}) as term from conversations where role = 'user'""",
     "overlap": """
@@ -479,8 +480,9 @@ from (select doc_id, w, unnest(range(cast(ceil(len(w) / 200.0) as int))) as c
     "docs_chunk_wrap": f"""
 select doc_id, cast(pos - 1 as bigint) as line_no, line
 from (select doc_id, unnest(ls) as line, generate_subscripts(ls, 1) as pos from (
-  select doc_id, case when len(w) = 0 then [''] else regexp_extract_all(
-    array_to_string(w, ' '), '([^ ]{{93,}}|.{{1,92}})(?: |$)', 1) end as ls
+  select doc_id, case when len(w) = 0 then [''] else list_reduce(list_transform(w, lambda x: [x]), lambda done, x:
+    case when length(done[-1]) + 1 + length(x[1]) <= 92
+      then list_concat(done[1:len(done) - 1], [done[-1] || ' ' || x[1]]) else list_concat(done, x) end) end as ls
   from (select doc_id, {_WORDS} as w from documents)))""",
     "docs_facts": "select * from facts",
     "docs_rate_parse": r"""
@@ -491,11 +493,9 @@ select *, try_cast(nullif(replace(regexp_extract(value, 'RM([0-9][0-9,]*(\.[0-9]
   as amount_myr from facts""",
     "docs_label_lookup": "select * from facts where section = 'Eligibility'",
     "docs_compare_products": """
-select label, arg_min(value, doc_id) filter (product = 'ECONOMY') as a_value,
-  min(doc_id) filter (product = 'ECONOMY') as a_doc_id, count(*) filter (product = 'ECONOMY') as a_sheets,
-  arg_min(value, doc_id) filter (product = 'PROMO') as b_value,
-  min(doc_id) filter (product = 'PROMO') as b_doc_id, count(*) filter (product = 'PROMO') as b_sheets
-from facts where product in ('ECONOMY', 'PROMO') group by label""",
+select label, case product when 'ECONOMY' then 'a' else 'b' end as side, value, doc_id,
+  count(distinct product) over (partition by label) = 2 as both_sides
+from facts where product in ('ECONOMY', 'PROMO') and label is not null""",
     "docs_catalog_reconcile": """
 select coalesce(c.doc_id, s.doc_id) as doc_id, profit_rate_pct, sheet_rate_pct,
   case when s.doc_id is null then 'missing sheet' when c.doc_id is null then 'missing product'
@@ -516,12 +516,19 @@ select question_id, rank, doc_id, score from (
   select *, row_number() over (partition by question_id order by score desc, doc_id) as rank from near)
 where rank <= 5""",
     "route_questions": """
-select conv_id, turn, specialist, score from (
+select conv_id, turn, coalesce(specialist, 'none') as specialist, coalesce(score, 0) as score
+from (select conv_id, turn from conversations where role = 'user') left join (
   select *, row_number() over (partition by conv_id, turn order by score desc, specialist) as place from overlap)
-where place = 1""",
+  using (conv_id, turn) where coalesce(place, 1) = 1""",
     "route_multi": """
-select conv_id, turn, string_agg(specialist, ',' order by specialist) as specialists, count(*) as n_specialists
-from overlap where score >= 2 group by conv_id, turn""",
+select conv_id, turn, coalesce(string_agg(specialist, ',' order by specialist) filter (score >= 2),
+    arg_min(specialist, (-score, specialist)), 'none') as specialists,
+  case when max(score) >= 2 then count(*) filter (score >= 2) when max(score) is null then 0 else 1 end as n_specialists
+from (select conv_id, turn from conversations where role = 'user') left join overlap using (conv_id, turn)
+group by conv_id, turn""",
+    "ml_split": """
+select *, case when cast('0x' || substr(md5(customer_id), 1, 8) as bigint) % 10 < 8 then 'train' else 'test' end as split
+from features""",
 }
 
 QUERIES |= {name: " union all ".join(parts) for name, parts in CHECKS.items()}

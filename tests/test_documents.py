@@ -11,10 +11,10 @@ from hypothesis import strategies as st
 
 from bankspark import schemas as S
 from bankspark.operators import documents as D
-from bankspark.operators import combine, retrieval, routing
+from bankspark.operators import retrieval, routing
 
 QUIET = settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-TEXT = st.text(alphabet="abé €\n\tXY,.:", max_size=300)
+TEXT = st.text(alphabet="abé €\n\tXY,.:\u0085\u2028\u2029\u00a0", max_size=300)
 
 # The twelve disclosure sheets and the profit rate line of each.
 SHEETS = [
@@ -86,23 +86,26 @@ def test_long_text_is_processed_whole(spark):
     assert lines[-1] == "x" * 100_000
     long_line = "word " * 50_000 + "\nRate:  1% per annum"
     facts = D.docs_facts(_docs(spark, long_line)).collect()
-    assert [(f["section"], f["label"]) for f in facts] == [("word " * 50_000, "Rate")]
+    assert [(f["label"], f["value"]) for f in facts] == [(None, "word " * 50_000), ("Rate", "1% per annum")]
 
 
 def test_facts(spark):
     docs = _docs(
         spark,
-        "First:  no heading yet\nHead\nA:  1\n\nB:  2:  3\nno fact: one blank\nC:  4",
-        "", "only a heading", None,
+        "First:  no heading yet\nEligibility\nA:  1\n\nB:  2:  3\nno fact: one blank\nC:  4",
+        "", "only a title", "Fees and Charges\nAll fees exclude tax.\nStamp duty:  0.5%", None,
     )
     rows = [tuple(r) for r in D.docs_facts(docs).collect()]
     assert sorted(rows, key=str) == sorted([
-        (0, None, "First", "no heading yet"), (0, "Head", "A", "1"), (0, "Head", "B", "2:  3"),
-        (0, "no fact: one blank", "C", "4"),
+        (0, None, "First", "no heading yet"), (0, "Eligibility", "A", "1"), (0, "Eligibility", "B", "2:  3"),
+        (0, "Eligibility", None, "no fact: one blank"), (0, "Eligibility", "C", "4"), (2, None, None, "only a title"),
+        (3, "Fees and Charges", None, "All fees exclude tax."), (3, "Fees and Charges", "Stamp duty", "0.5%"),
     ], key=str)
 
 
-LINES = st.lists(st.sampled_from(["Head", "a:  1", "b: one blank", "", "  ", "\t", ":  ", "c:  2:  3", "\u0001x"]), max_size=12)
+LINES = st.lists(st.sampled_from(
+    ["Key Risks", "Eligibility \t", "a:  1", "b: one blank", "", "  ", "\t", ":  ", "c:  2:  3", "\u0001x", "x\u2028Eligibility"]
+), max_size=12)
 
 
 @QUIET
@@ -110,11 +113,12 @@ LINES = st.lists(st.sampled_from(["Head", "a:  1", "b: one blank", "", "  ", "\t
 def test_facts_follow_the_line_rule(spark, lines):
     section, want = None, []
     for line in lines:
-        if ":  " in line:
-            label, value = line.split(":  ", 1)
-            want.append((section, label, value))
-        elif line.strip():
-            section = line
+        if line.rstrip(" \t\r") in D.SECTIONS:
+            section = line.rstrip(" \t\r")
+        elif ":  " in line:
+            want.append((section, *line.split(":  ", 1)))
+        elif line.strip(" \t\r"):
+            want.append((section, None, line))
     got = [(r["section"], r["label"], r["value"]) for r in D.docs_facts(_docs(spark, "\n".join(lines))).collect()]
     assert sorted(got, key=str) == sorted(want, key=str)
 
@@ -133,10 +137,12 @@ def test_lookup_and_comparison(sheets):
     fees = D.docs_label_lookup(facts, product="Home Financing-i", section="Fees and Charges").collect()
     assert [(r["doc_id"], r["label"]) for r in fees] == [(1, "Late payment charge")]
     compared = D.docs_compare_products(facts, "Personal Financing-i", "Home Financing-i")
-    rate = compared.filter("label = 'Profit rate'").first()
-    assert (rate["a_doc_id"], rate["b_doc_id"]) == (0, 1)
-    assert (rate["a_value"][:5], rate["b_value"][:5]) == ("4.50%", "3.85%")
-    assert (rate["a_sheets"], rate["b_sheets"]) == (1, 1)
+    rate = {r["side"]: r for r in compared.filter("label = 'Profit rate'").collect()}
+    assert (rate["a"]["doc_id"], rate["b"]["doc_id"]) == (0, 1)
+    assert (rate["a"]["value"][:5], rate["b"]["value"][:5]) == ("4.50%", "3.85%")
+    twice = facts.unionByName(facts.filter("doc_id = 0").selectExpr("70L AS doc_id", "product", "section", "label", "value"))
+    cited = D.docs_compare_products(twice, "Personal Financing-i", "Credit Card-i").filter("label = 'Profit rate'").collect()
+    assert [(r["doc_id"], r["both_sides"]) for r in sorted(cited, key=lambda r: r["doc_id"])] == [(0, False), (70, False)]
 
 
 def test_catalog_and_sheets_do_not_line_up(spark, sheets):
@@ -228,8 +234,7 @@ DESCRIPTIONS = [
 ]
 
 
-@pytest.mark.parametrize("max_rows", [combine.LOOKUP_ROWS, 3])
-def test_routing(spark, max_rows):
+def test_routing(spark):
     terms = routing.described_terms(
         spark.createDataFrame(DESCRIPTIONS, "specialist string, description string"))
     questions = spark.createDataFrame([
@@ -238,12 +243,14 @@ def test_routing(spark, max_rows):
         (3, "Which segment has the least spend, and what are the eligibility requirements for financing?"),
         (4, "zzz"),
     ], "id int, text string")
-    scored = {(r["id"], r["specialist"]): r["score"] for r in routing.overlaps(questions, terms, max_rows).collect()}
+    scored = {(r["id"], r["specialist"]): r["score"] for r in routing.overlaps(questions, terms).collect()}
     assert scored[(1, "data")] == 2 and scored[(2, "product")] == 3
     best = {r["id"]: r["specialist"] for r in routing.route_questions(questions, terms).collect()}
-    assert best == {1: "data", 2: "product", 3: "product"}
+    assert best == {1: "data", 2: "product", 3: "product", 4: "none"}
     both = {r["id"]: r["specialists"] for r in routing.route_multi(questions, terms, at_least=2).collect()}
-    assert both == {1: "data", 2: "product", 3: "data,product"}
+    assert both == {1: "data", 2: "product", 3: "data,product", 4: "none"}
+    counts = {r["id"]: r["n_specialists"] for r in routing.route_multi(questions, terms, at_least=9).collect()}
+    assert counts == {1: 1, 2: 1, 3: 1, 4: 0}
 
 
 def test_equal_scores_go_to_the_first_name(spark):

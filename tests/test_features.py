@@ -161,3 +161,11 @@ def test_known_and_unknown_values_are_counted_exactly(spark):
                                   F.count_distinct("category").alias("plain"))
     assert {r["k"]: r["n"] for r in counted.collect()} == {"a": 4, "b": 0, "c": 1}
     assert counted.filter("n <> plain").count() == 0
+
+
+def test_a_long_list_of_known_values(spark):
+    from bankspark.functions.sets import count_distinct_known
+
+    known = [f"v{i}" for i in range(150)]
+    df = spark.createDataFrame([(f"v{i % 170}",) for i in range(400)] + [(None,)], "c string")
+    assert df.agg(count_distinct_known("c", known)).first()[0] == 170

@@ -48,9 +48,11 @@ def test_several_teams_add_up(branches, members):
     assert G.enforce(branches, [ROWS], members, 92).count() == 3 + 6
 
 
-def test_many_groups_use_a_semi_join(branches, members, monkeypatch):
-    monkeypatch.setattr(G, "MAX_GROUPS", 1)
-    assert G.enforce(branches, [ROWS], members, 92).count() == 3 + 6
+def test_any_number_of_groups_is_a_semi_join(spark, branches, members):
+    many = spark.range(2000).selectExpr("92L AS principal", "concat('team_', id) AS group_name")
+    seen = G.enforce(branches, [ROWS], members.select("principal", "group_name").union(many), 92)
+    assert seen.count() == 3 + 6
+    assert "LeftSemi" in seen._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_filter_sees_raw_values_before_the_mask(branches, members):

@@ -34,3 +34,9 @@ def test_nulls_do_not_count(spark):
     df = spark.createDataFrame([(1.0,), (None,), (2.0,)], "x double")
     assert tuple(df.agg(sum_money("x"), avg_money("x")).first()) == (3.0, 1.5)
     assert tuple(df.filter("x > 9").agg(sum_money("x"), avg_money("x")).first()) == (None, None)
+
+
+def test_a_sum_is_rounded_once(spark):
+    df = spark.range(1000).selectExpr("0.004D AS x", "-0.0049D AS y")
+    assert tuple(df.agg(sum_money("x"), avg_money("x"), sum_money("y")).first()) == (4.0, 0.0, -4.9)
+    assert spark.range(1).selectExpr("0.125D AS x").agg(sum_money("x")).first()[0] == 0.13

@@ -13,7 +13,8 @@ from bankspark import schemas as S
 from bankspark.operators import features as E
 from bankspark.operators import metrics as Q
 from bankspark.operators import quality as C
-from bankspark.operators.combine import join_lookup, salted_join
+from bankspark.operators.combine import splittable_join
+from bankspark.plans import registered
 
 N = 30_000
 
@@ -89,15 +90,16 @@ def test_only_small_rows_reach_the_join_of_a_chart(hot):
     assert transactions.filter("customer_id = 'C00000'").count() >= N // 3
 
 
-def test_salting_spreads_a_hot_key(hot):
+def test_splittable_join_copies_nothing(hot):
     customers, transactions = hot
-    joined = salted_join(transactions, customers, "customer_id", F.col("txn_id"), salts=8)
+    joined = splittable_join(transactions, customers, "customer_id")
     assert joined.count() == N
     assert joined.columns == ["customer_id", *[c for c in transactions.columns if c != "customer_id"],
                               *customers.columns[1:]]
+    assert "Generate" not in _optimized(joined)
 
 
-def test_adaptive_execution_splits_the_salted_join(spark, hot):
+def test_adaptive_execution_splits_the_join(spark, hot):
     customers, transactions = hot
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -111,7 +113,8 @@ def test_adaptive_execution_splits_the_salted_join(spark, hot):
     try:
         for key, value in settings.items():
             spark.conf.set(key, value)
-        df = Q.dash_dataset(customers, transactions)
+        placed = customers.groupBy(*customers.columns).agg(F.count("*").alias("n")).drop("n")
+        df = Q.dash_dataset(placed, transactions)
         assert len(df.collect()) == N
         assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
     finally:
@@ -119,14 +122,10 @@ def test_adaptive_execution_splits_the_salted_join(spark, hot):
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
-@pytest.mark.parametrize("max_rows", [100, 2])
-def test_lookup_beyond_its_bound_is_joined_whole(spark, max_rows):
-    big = spark.range(1000).select(F.col("id"), (F.col("id") % 10).alias("k"))
-    lookup = spark.createDataFrame([(k, f"v{k}") for k in range(10)], "k bigint, v string")
-    joined = join_lookup(big, lookup, "k", F.col("id"), max_rows)
-    assert joined.filter(F.concat(F.lit("v"), "k") == F.col("v")).count() == 1000
-    plan = joined._jdf.queryExecution().optimizedPlan().toString()
-    assert ("strategy=broadcast" in plan) == (max_rows == 100)
+def test_transaction_features_need_one_exchange(hot):
+    _, transactions = hot
+    plan = E.feat_txn(transactions)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "hashpartitioning(customer_id" in plan
 
 
 def test_layout_does_not_change_results(spark, hot):
@@ -156,7 +155,7 @@ WRITERS = {
 MODELS = {"ml_leaderboard", "ml_batch_score", "ml_offer_actions"}
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - WRITERS - MODELS))
+@pytest.mark.parametrize("name", sorted(set(registered.queries()) - WRITERS - MODELS))
 def test_plan(spark, small_dir, name):
     plan = entry.queries()[name](spark, small_dir)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
@@ -242,11 +241,9 @@ def test_charts_join_what_was_added_up(hot, no_broadcast):
         assert plan.index("Join Inner") < plan.index("Aggregate [customer_id")
 
 
-def test_filters_reach_the_customers_before_they_are_salted(spark, small_dir):
+def test_filters_reach_the_customers_before_the_join(spark, small_dir):
     plan = _optimized(entry.queries()["dash_filter"](spark, small_dir))
-    salted = plan.index("Generate explode")
-    assert "Filter" not in plan[:salted] or "segment" not in plan[:salted].split("Filter", 1)[1].split("\n")[0]
-    assert "IN (Affluent,Senior)" in plan[salted:]
+    assert "IN (Affluent,Senior)" in plan[plan.index("Join Inner"):]
 
 
 def test_term_counts_and_chunks_need_no_shuffle(spark, small_dir):
