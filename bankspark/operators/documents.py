@@ -154,9 +154,13 @@ def docs_term_stats(documents: DataFrame) -> DataFrame:
     ranking needs them for the question's terms only, and joining them to every
     posting would move the whole index.
     """
+    return term_postings(documents.select("doc_id", F.sort_array(tokens("text")).alias("terms")))
+
+
+def term_postings(sorted_terms: DataFrame) -> DataFrame:
+    """The same from documents as sorted arrays (doc_id, terms)."""
     runs = (
-        documents.select("doc_id", F.sort_array(tokens("text")).alias("terms"))
-        .withColumn("n", F.size("terms"))
+        sorted_terms.withColumn("n", F.size("terms"))
         .withColumn("starts", F.when(F.col("n") > 0, F.filter(
             F.sequence(F.lit(0), F.col("n") - 1),
             lambda i: (i == 0) | (F.get("terms", i) != F.get("terms", i - 1)),

@@ -1,10 +1,10 @@
 """Ranked retrieval: the k best documents per question.
 
-Documents stay where they are.  A block of questions, bounded in size, goes to
-every task; a task scores its documents against the block and keeps only its
-own k best per question, which is all that is shuffled.  More questions than a
-block holds are answered in several blocks, so no question is dropped and no
-(question, document) pair is ever materialised.
+Terms are looked up in an index of the terms that any question has.  Vectors
+stay where they are: the questions are a stated query set against all of them,
+in blocks of bounded size; a task scores its vectors against a block and keeps
+only its own k best per question, which is all that is shuffled.  More
+questions than a block holds are answered in several blocks.
 """
 
 from __future__ import annotations
@@ -14,25 +14,22 @@ import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from bankspark.functions.text import tokens
 from bankspark.operators.combine import union_all
+from bankspark.operators.documents import term_postings
 from bankspark.sources.scratch import store
 
 # Executors get the scorers with the task, so this package need not be installed there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 TOP_K = 5
-TERMS_PER_BLOCK = 10_000
 VECTORS_PER_BLOCK = 512
 ROWS_PER_STEP = 1024
 CELLS_PER_STEP = 4_000_000
@@ -124,92 +121,46 @@ def _best_of_all(candidates: list[DataFrame], k: int) -> DataFrame:
     )
 
 
-def _bm25_scorer(
-    question_ids: np.ndarray,
-    term_of: np.ndarray,
-    question_of: np.ndarray,
-    idf: np.ndarray,
-    mean_length: float,
-    k: int,
-) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Score batches of (doc_id, doc_len, indices, values) sparse term counts.
+def docs_bm25_topk(documents: DataFrame, questions: DataFrame, k: int = TOP_K) -> DataFrame:
+    """The k best documents per question (question_id, text) by BM25, with the score as citation.
 
-    ``term_of`` and ``question_of`` list the (term, question) pairs by term.
+    Returns (question_id, rank, doc_id, score).  Documents that share no term with a question are never returned for
+    it.  The corpus is tokenised once, whatever the number of questions: the counts of the terms that any question has
+    are stored, with the corpus figures taken on the way, and scores exist only where a document and a question share
+    a term.  A term that stands in many documents is a hot key of the join on the documents' side alone, which
+    adaptive execution splits.
     """
-    n = len(question_ids)
-    first = np.searchsorted(term_of, np.arange(len(idf) + 1))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = BestPerQuestion(question_ids, k)
-        for part in _in_parts(batches, len(term_of)):
-            rows = part.num_rows
-            term = part.column("indices").flatten().to_numpy(zero_copy_only=False)
-            tf = part.column("values").flatten().to_numpy(zero_copy_only=False)
-            per_doc = pc.list_value_length(part.column("indices")).to_numpy(zero_copy_only=False)
-            row = np.repeat(np.arange(rows), per_doc)
-            length = part.column("doc_len").to_numpy(zero_copy_only=False)[row]
-            weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / mean_length))
-            askers = first[term + 1] - first[term]
-            offset = np.arange(askers.sum()) - np.repeat(np.cumsum(askers) - askers, askers)
-            question = question_of[np.repeat(first[term], askers) + offset]
-            cell = np.repeat(row, askers) * n + question
-            scores = np.bincount(cell, np.repeat(weight, askers), rows * n).reshape(rows, n)
-            best.offer(part.column("doc_id").to_numpy(), np.round(scores, BM25_PLACES), scores > 0)
-        yield best.batch()
-
-    return run
-
-
-def _bm25_block(documents: DataFrame, asked_terms: DataFrame, k: int) -> DataFrame | None:
-    asked = asked_terms.toPandas()
-    if asked.empty:
-        return None
-    term_code, vocabulary = pd.factorize(asked["term"], sort=True)
-    question_code, question_ids = pd.factorize(asked["question_id"], sort=True)
-    by_term = np.lexsort((question_code, term_code))
-
-    counter = CountVectorizerModel.from_vocabulary(list(vocabulary), inputCol="terms", outputCol="counts")
-    sparse = F.unwrap_udt("counts")
-    # Tokenising is the expensive part, so the counts are stored for the two jobs that read them.
-    counted = store(
-        counter.transform(documents.select("doc_id", tokens(F.coalesce("text", F.lit(""))).alias("terms")))
-        .select(
-            "doc_id", F.size("terms").alias("doc_len"),
-            sparse["indices"].alias("indices"), sparse["values"].alias("values"),
-        )
+    asked = store(questions.select("question_id", F.explode(F.array_distinct(tokens("text"))).alias("term")))
+    if asked.isEmpty():
+        return _no_ranks(documents, asked)
+    seen = Observation()
+    counted = documents.select("doc_id", F.sort_array(tokens(F.coalesce("text", F.lit("")))).alias("terms")).observe(
+        seen, F.count(F.lit(1)).alias("documents"), F.sum(F.size("terms")).alias("length")
     )
-
-    # The corpus figures; the pseudo term -1 stands for every document.
-    figures = (
-        counted.select("doc_len", F.explode(F.concat(F.array(F.lit(-1)), "indices")).alias("term"))
-        .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("df"), F.sum("doc_len").alias("length"))
-        .toPandas()
-        .set_index("term")
-    )
-    if -1 not in figures.index or not figures.at[-1, "length"]:
-        return None
-    docs, length = int(figures.at[-1, "df"]), int(figures.at[-1, "length"])
-    df = figures["df"].reindex(range(len(vocabulary)), fill_value=0).to_numpy(dtype=np.float64)
-    idf = np.log(1 + (docs - df + 0.5) / (df + 0.5))
-    scorer = _bm25_scorer(
-        question_ids.to_numpy(), term_code[by_term], question_code[by_term], idf, length / docs, k
+    postings = store(term_postings(counted).join(asked.select("term").distinct(), "term", "left_semi"))
+    if not seen.get["length"]:
+        return _no_ranks(documents, asked)
+    n, mean = F.lit(seen.get["documents"]), F.lit(seen.get["length"] / seen.get["documents"])
+    known = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    idf = F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    askers = asked.join(known, "term").select("question_id", "term", idf.alias("idf"))
+    tf = F.col("tf")
+    weight = F.col("idf") * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("doc_len") / mean))
+    best_first = Window.partitionBy("question_id").orderBy(F.desc("score"), "doc_id")
+    return (
+        postings.join(askers, "term")
+        .groupBy("question_id", "doc_id").agg(F.round(F.sum(weight), BM25_PLACES).alias("score"))
+        .filter("score > 0")
+        .withColumn("rank", F.row_number().over(best_first))
+        .filter(F.col("rank") <= k)
+        .select("question_id", F.col("rank").cast("bigint").alias("rank"), "doc_id", "score")
     )
-    return counted.mapInArrow(scorer, BEST_SCHEMA)
 
 
-def docs_bm25_topk(
-    documents: DataFrame, questions: DataFrame, k: int = TOP_K, terms_per_block: int = TERMS_PER_BLOCK
-) -> DataFrame:
-    """The k best documents per question (question_id, text) by BM25, with the score as citation.
-
-    Returns (question_id, rank, doc_id, score).  Documents that share no term
-    with a question are never returned for it.
-    """
-    asked = questions.select("question_id", F.explode(F.array_distinct(tokens("text"))).alias("term"))
-    weights = asked.groupBy("question_id").agg(F.count(F.lit(1)).alias("weight"))
-    blocks = [_bm25_block(documents, block, k) for block in _question_blocks(asked, weights, terms_per_block)]
-    return _best_of_all([b for b in blocks if b is not None] or [_no_answers(documents)], k)
+def _no_ranks(documents: DataFrame, asked: DataFrame) -> DataFrame:
+    nothing = {"question_id": asked.schema["question_id"].dataType, "rank": "bigint", "score": "double"}
+    empty = documents.limit(0).select("doc_id", *(F.lit(None).cast(t).alias(c) for c, t in nothing.items()))
+    return empty.select("question_id", "rank", "doc_id", "score")
 
 
 def _no_answers(df: DataFrame) -> DataFrame:

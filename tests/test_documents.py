@@ -12,6 +12,7 @@ from hypothesis import strategies as st
 from bankspark import schemas as S
 from bankspark.operators import documents as D
 from bankspark.operators import retrieval, routing
+from bankspark.sources.scratch import store
 
 QUIET = settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 TEXT = st.text(alphabet="abé €\n\tXY,.:\u0085\u2028\u2029\u00a0", max_size=300)
@@ -183,9 +184,9 @@ def brute_bm25(docs, questions, k):
     return out
 
 
-@pytest.mark.parametrize("terms_per_block", [10_000, 7])
-def test_bm25_matches_brute_force(spark, monkeypatch, terms_per_block):
-    monkeypatch.setattr(retrieval, "CELLS_PER_STEP", 400)
+def test_bm25_matches_brute_force(spark, monkeypatch):
+    stored = []
+    monkeypatch.setattr(retrieval, "store", lambda df: stored.append(df) or store(df))
     rng = np.random.default_rng(3)
     vocabulary = [f"t{i}" for i in range(40)]
     docs = [(i, " ".join(rng.choice(vocabulary, rng.integers(1, 60)))) for i in range(200)]
@@ -193,8 +194,12 @@ def test_bm25_matches_brute_force(spark, monkeypatch, terms_per_block):
     questions = [(i, " ".join(rng.choice(vocabulary, 4))) for i in range(12)] + [(12, "unknown words")]
     corpus = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3)
     asked = spark.createDataFrame(questions, "question_id bigint, text string")
-    got = retrieval.docs_bm25_topk(corpus, asked, 5, terms_per_block).collect()
+    got = retrieval.docs_bm25_topk(corpus, asked, 5).collect()
     assert sorted(tuple(r) for r in got) == brute_bm25(docs, questions, 5)
+    assert len(stored) == 2  # the question terms and the corpus counts, however many questions there are
+    named = corpus.selectExpr("concat('d', lpad(doc_id, 4, '0')) AS doc_id", "text")
+    by_name = retrieval.docs_bm25_topk(named, asked, 5).collect()
+    assert sorted((q, r, int(d[1:]), s) for q, r, d, s in by_name) == brute_bm25(docs, questions, 5)
 
 
 def test_bm25_without_answers(spark):
