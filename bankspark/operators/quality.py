@@ -120,6 +120,22 @@ def balance_sign_rules() -> Rules:
     }
 
 
+REQUIRED = {
+    "branches": ("branch_id", "region"),
+    "customers": ("customer_id", "segment", "home_branch_id", "join_date"),
+    "accounts": ("account_id", "customer_id", "product_id", "balance_myr"),
+    "transactions": ("txn_id", "customer_id", "txn_date", "amount_myr"),
+    "products": ("product_id", "product_type"),
+}
+
+
+def missing_rules(required: Mapping[str, Sequence[str]] = REQUIRED) -> Rules:
+    """Columns that must have a value; the other checks pass over what is missing."""
+    return {
+        table: {f"missing_{column}": F.col(column).isNull() for column in columns} for table, columns in required.items()
+    }
+
+
 def txn_date_rules(as_of: dt.date) -> Rules:
     return {"transactions": {"txn_after_as_of": F.col("txn_date") > F.lit(as_of)}}
 
@@ -148,6 +164,10 @@ def dq_id_format(tables: Tables, formats: Mapping[str, str] = ID_FORMATS) -> Dat
     return _checked(tables, id_format_rules(formats))
 
 
+def dq_missing(tables: Tables) -> DataFrame:
+    return _checked(tables, missing_rules())
+
+
 def dq_domain(tables: Tables) -> DataFrame:
     return _checked(tables, domain_rules())
 
@@ -174,7 +194,7 @@ def dq_pk_unique(tables: Tables, keys: Mapping[str, str] = PRIMARY_KEYS) -> Data
 
 
 def _orphans(check: str, child: DataFrame, table: str, column: str, parent: DataFrame, key: str) -> DataFrame:
-    """Rows whose key has no parent.  Keys are counted first, so a hot key is one row in the join."""
+    """Rows whose key has no parent; a missing key is not one.  Keys are counted first, so a hot key is one row in the join."""
     per_key = child.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
     known = parent.select(F.col(key).alias(column))
     return per_key.join(known, column, "left_anti").agg(F.sum("n").alias("v")).select(
@@ -274,11 +294,17 @@ def dq_report(
     as_of: dt.date,
     formats: Mapping[str, str] = ID_FORMATS,
     customer_grain: Tables | None = None,
+    expected_rows: DataFrame | None = None,
+    tolerance: float = 0.1,
 ) -> DataFrame:
-    """Every check in one table; rules on single rows share one pass per table."""
+    """Every check in one table; rules on single rows share one pass per table.
+
+    With ``expected_rows`` (table_name, expected_rows) a table whose row count is off by more than the tolerance is a
+    violation of ``row_count``.
+    """
     customers, accounts, transactions = tables["customers"], tables["accounts"], tables["transactions"]
     row_rules = merge_rules(
-        id_format_rules(formats), domain_rules(), segment_age_rules(),
+        missing_rules(), id_format_rules(formats), domain_rules(), segment_age_rules(),
         amount_range_rules(), balance_sign_rules(), txn_date_rules(as_of),
     )
     typed = {**tables, "accounts": with_product_type(accounts, tables["products"])}
@@ -293,4 +319,10 @@ def dq_report(
     ]
     if customer_grain:
         parts.append(dq_one_row_per_customer(customer_grain))
+    if expected_rows is not None:
+        counts = dq_row_counts({**tables, **(customer_grain or {})}, expected_rows, tolerance)
+        parts.append(counts.filter("expected_rows is not null").select(
+            F.lit("row_count").alias("check_name"), "table_name",
+            F.when(F.col("within_tolerance"), 0).otherwise(1).cast("bigint").alias("violations"),
+        ))
     return union_all(parts)

@@ -20,10 +20,14 @@ from bankspark.operators import routing as W
 from bankspark.operators.combine import union_all
 from bankspark.sources import files, tables
 from bankspark.sources.mapping import AS_OF, GivenTables
-from bankspark.sources.scratch import shared_folder, table_prefix
-from bankspark.sources.tags import columns_with_tag, set_tag, tag_listing
+from bankspark.sources.scratch import shared_folder, store, table_prefix
+from bankspark.sources.tags import columns_with_tag, set_tag
 
-TRANSACTIONS_COMMENT = "One row per transaction: amount in MYR, channel, category and merchant."
+COMMENTS = {
+    "transactions": "One row per transaction: amount in MYR, channel, category and merchant.",
+    "products": "One row per product: type, profit rate and least amount.",
+}
+PRODUCTS = 12  # fixed value: the size of the catalog
 PRINCIPAL = 1
 HOME_STATE = "NATION_3"
 FORMATS = {
@@ -152,27 +156,21 @@ class Bank(GivenTables):
         return stored
 
     def comment(self) -> DataFrame:
-        """A described table: its comment as the catalog returns it, and its rows."""
-        name = self.store("transactions", self.transactions)
-        tables.comment_on(self.spark, name, TRANSACTIONS_COMMENT)
-        return tables.scan(self.spark, name).agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit("transactions").alias("table_name"),
-            F.lit(tables.comment_of(self.spark, name)).alias("comment"),
-            "row_count",
-        )
+        """Two described tables: their comments as the catalog returns them, and their rows."""
+        described = []
+        for table, text in COMMENTS.items():
+            name = self.store(table, self.tables[table])
+            tables.comment_on(self.spark, name, text)
+            described.append(tables.scan(self.spark, name).agg(F.count(F.lit(1)).alias("row_count")).select(
+                F.lit(table).alias("table_name"), F.lit(tables.comment_of(self.spark, name)).alias("comment"), "row_count",
+            ))
+        return union_all(described)
 
     def tagged_columns(self) -> DataFrame:
         """The key and the columns that a stored table has tagged as personal."""
         stored = tables.scan(self.spark, self.store("customers", self.tagged_customers))
         return stored.select("customer_id", *columns_with_tag(stored, "pii", "true"))
 
-    def listed_tags(self) -> DataFrame:
-        """The tags of two stored tables."""
-        return tag_listing({
-            "customers": tables.scan(self.spark, self.store("customers", self.tagged_customers)),
-            "branches": tables.scan(self.spark, self.store("branches", self.tagged_branches)),
-        })
-
     # Governance
 
     def masked_twice_tagged(self) -> DataFrame:
@@ -196,16 +194,32 @@ class Bank(GivenTables):
             "customers": "customer", "accounts": "orders", "transactions": "lineitem",
             "branches": "nation", "silver_customer_dim": "customer", "silver_transactions": "lineitem",
         }
+        products = self.spark.range(1).select(F.lit(PRODUCTS).cast("bigint").alias("expected_rows"), F.lit("products").alias("table_name"))
         return union_all([
-            self.raw(source).agg(F.count(F.lit(1)).alias("expected_rows")).withColumn("table_name", F.lit(table))
-            for table, source in sources.items()
+            *(
+                self.raw(source).agg(F.count(F.lit(1)).alias("expected_rows")).withColumn("table_name", F.lit(table))
+                for table, source in sources.items()
+            ),
+            products,
         ])
 
     def row_counts(self) -> DataFrame:
-        built = {t: df for t, df in self.tables.items() if t != "products"}
+        built = dict(self.tables)
         built |= {"silver_customer_dim": self.silver_dim, "silver_transactions": self.silver_txn}
         return C.dq_row_counts(built, self.expected_rows(), tolerance=0.1)
 
+    def stored_tables(self) -> Bank:
+        """The same bank over stored tables: a report that reads a table for many checks maps it once."""
+        stored = Bank(self.spark, self.sf_dir)
+        stored.__dict__ |= {t: store(df) for t, df in self.tables.items() if t != "products"}
+        return stored
+
+    def report(self) -> DataFrame:
+        """All checks on the stored tables, those of customer grain included."""
+        bank = self.stored_tables()
+        grain = {t: store(df) for t, df in bank.customer_grain.items()}
+        return C.dq_report(bank.tables, AS_OF, FORMATS, grain, self.expected_rows())
+
     @property
     def customer_grain(self) -> dict[str, DataFrame]:
         return {
@@ -225,13 +239,11 @@ JOBS: dict[str, Callable[[Bank], DataFrame]] = {
     "src_customer_upload": lambda b: b.customer_upload(),
     "src_table_scan": lambda b: b.table_scan(),
     "src_sample_rows": lambda b: files.preview(b.customers, 5, "customer_id"),
-    "src_doc_inventory": lambda b: files.doc_inventory(b.spark, b.sf_dir, "parquet").select("file_name", "bytes"),
     "sink_table_overwrite": lambda b: b.table_overwrite(),
     "sink_ctas_replace": lambda b: b.ctas(),
     "bronze_ingest_counts": lambda b: b.ingest_counts(),
     "meta_comment": lambda b: b.comment(),
     "meta_set_tag": lambda b: b.tagged_columns(),
-    "meta_tag_listing": lambda b: b.listed_tags(),
     # Silver and gold
     "join_customer_branch": lambda b: b.profile,
     "agg_accounts_per_customer": lambda b: M.agg_accounts_per_customer(b.accounts),
@@ -311,8 +323,10 @@ JOBS: dict[str, Callable[[Bank], DataFrame]] = {
     "dq_holding_rules": lambda b: C.dq_holding_rules(b.customers, b.accounts),
     "dq_dates": lambda b: C.dq_dates(b.customers, b.accounts, b.transactions, AS_OF),
     "dq_row_counts": lambda b: b.row_counts(),
-    "dq_one_row_per_customer": lambda b: C.dq_one_row_per_customer(b.customer_grain),
-    "dq_report": lambda b: C.dq_report(b.tables, AS_OF, FORMATS, b.customer_grain),
+    "dq_one_row_per_customer": lambda b: C.dq_one_row_per_customer(
+        {t: store(df) for t, df in b.customer_grain.items()}),
+    "dq_missing": lambda b: C.dq_missing(b.tables),
+    "dq_report": lambda b: b.report(),
     # Documents
     "docs_chunk_words": lambda b: D.docs_chunk_words(b.raw("documents")),
     "docs_chunk_wrap": lambda b: D.docs_chunk_wrap(b.raw("documents")),

@@ -254,8 +254,17 @@ CHECKS = {
     "dq_id_format": [
         _rows("id_format", t, f"not regexp_matches({k}, '{p}')") for t, (k, p) in _IDS.items()
     ],
+    "dq_missing": [
+        _rows(f"missing_{column}", t, f"{column} is null")
+        for t, columns in [
+            ("branches", ["branch_id", "region"]), ("customers", ["customer_id", "segment", "home_branch_id", "join_date"]),
+            ("accounts", ["account_id", "customer_id", "product_id", "balance_myr"]),
+            ("transactions", ["txn_id", "customer_id", "txn_date", "amount_myr"]), ("products", ["product_id", "product_type"]),
+        ]
+        for column in columns
+    ],
     "dq_fk_orphans": [
-        _check(check, t, "count(*)", f"{t} c anti join {parent} p on c.{column} = p.{key}")
+        _check(check, t, "count(*)", f"{t} c anti join {parent} p on c.{column} = p.{key} where c.{column} is not null")
         for check, t, column, parent, key in [
             ("fk_home_branch", "customers", "home_branch_id", "branches", "branch_id"),
             ("fk_customer", "accounts", "customer_id", "customers", "customer_id"),
@@ -333,16 +342,14 @@ QUERIES = {
     "sink_table_overwrite": "select customer_id, age, segment from customers",
     "sink_ctas_replace": "select * from silver_txn",
     "bronze_ingest_counts": " union all ".join(
-        f"select '{t}' as table_name, count(*) as \"rows\" from {t}"
+        f"select '{t}' as table_name, count(*) as \"rows\", 0 as rejected from {t}"
         for t in ("accounts", "transactions", "products", "branches", "customers")
     ),
     "meta_comment": """
 select 'transactions' as table_name, 'One row per transaction: amount in MYR, channel, category and merchant.' as comment,
-  count(*) as row_count from transactions""",
+  count(*) as row_count from transactions
+union all select 'products', 'One row per product: type, profit rate and least amount.', count(*) from products""",
     "meta_set_tag": "select customer_id, region from customers",
-    "meta_tag_listing": """
-select * from (values ('customers', 'region', 'pii', 'true'), ('branches', 'region', 'region_filter', 'true'))
-  as t(table_name, column_name, tag_key, tag_value)""",
     "join_customer_branch": "select * from home",
     "agg_accounts_per_customer": "select * from held",
     "agg_avg_balance_per_customer":
@@ -471,6 +478,7 @@ from (select 'customers' as table_name, (select count(*) from customers) as row_
   union all select 'accounts', (select count(*) from accounts), (select count(*) from orders)
   union all select 'transactions', (select count(*) from transactions), (select count(*) from lineitem)
   union all select 'branches', (select count(*) from branches), (select count(*) from nation)
+  union all select 'products', (select count(*) from products), 12
   union all select 'silver_customer_dim', (select count(*) from silver_dim), (select count(*) from customer)
   union all select 'silver_transactions', (select count(*) from silver_txn), (select count(*) from lineitem))""",
     "docs_chunk_words": f"""
@@ -532,7 +540,11 @@ from features""",
 }
 
 QUERIES |= {name: " union all ".join(parts) for name, parts in CHECKS.items()}
-QUERIES["dq_report"] = " union all ".join(part for parts in CHECKS.values() for part in parts)
+QUERIES["dq_report"] = " union all ".join([
+    *(part for parts in CHECKS.values() for part in parts),
+    "select 'row_count', table_name, cast(case when within_tolerance then 0 else 1 end as bigint) from ("
+    + QUERIES["dq_row_counts"] + ") where table_name <> 'silver_transactions'",
+])
 
 _NAMES = re.compile(r"\b(" + "|".join(sorted(TABLES, key=len, reverse=True)) + r")\b")
 

@@ -21,6 +21,16 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None)
     return reader.schema(schema).option("enforceSchema", False).csv(path)
 
 
+REJECTED = "_rejected_line"
+
+
+def read_csv_with_rejects(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The same with a declared schema; a line with a bad cell or of the wrong length has its text in ``REJECTED``."""
+    wider = T.StructType([*schema.fields, T.StructField(REJECTED, T.StringType())])
+    reader = spark.read.option("header", True).option("enforceSchema", False).option("mode", "PERMISSIVE")
+    return reader.option("columnNameOfCorruptRecord", REJECTED).schema(wider).csv(path)
+
+
 def preview(df: DataFrame, n: int, *order: str) -> DataFrame:
     """The first ``n`` rows in a stated order, so that a preview is repeatable."""
     return df.orderBy(*order).limit(n)

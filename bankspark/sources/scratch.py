@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+_made: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -23,7 +24,16 @@ def shared_folder(spark: SparkSession) -> str:
         if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError(f"set {SETTING} to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="bankspark-")
-    return f"{base.rstrip('/')}/bankspark-{uuid.uuid4().hex}"
+    folder = f"{base.rstrip('/')}/bankspark-{uuid.uuid4().hex}"
+    _made.append(folder)
+    return folder
+
+
+def clean(spark: SparkSession) -> None:
+    """Delete the folders this process has taken: for the end of a job, when nothing reads them any more."""
+    while _made:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def store(df: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bankspark.sources.files import read_csv
+from bankspark.sources.files import REJECTED, read_csv, read_csv_with_rejects
 
 
 def scan(spark: SparkSession, name: str) -> DataFrame:
@@ -46,11 +46,20 @@ def create_or_replace(spark: SparkSession, name: str, query: DataFrame, path: st
     return spark.table(name)
 
 
-def write_counted(df: DataFrame, name: str, path: str | None = None) -> int:
-    """Write a table and return its row count, counted while the rows pass to the writer."""
+def write_counted(df: DataFrame, name: str, path: str | None = None, rejects: str | None = None) -> tuple[int, int]:
+    """Write a table; returns the rows written and rejected, counted while they pass to the writer.
+
+    Rows with a text in ``REJECTED`` do not belong to the table: they are left out, and kept whole in a table of the
+    name ``rejects`` if there are any.
+    """
     seen = Observation()
-    write_table(df.observe(seen, F.count(F.lit(1)).alias("rows")), name, path)
-    return seen.get["rows"]
+    bad = F.col(REJECTED).isNotNull() if REJECTED in df.columns else F.lit(False)
+    counted = df.observe(seen, F.count_if(~bad).alias("rows"), F.count_if(bad).alias("rejected"))
+    write_table(counted.filter(~bad).drop(REJECTED), name, path)
+    rows, rejected = seen.get["rows"], seen.get["rejected"]
+    if rejected and rejects:
+        write_table(df.filter(bad), rejects, None if path is None else f"{path}_rejected")
+    return rows, rejected
 
 
 def ingest(
@@ -60,24 +69,20 @@ def ingest(
     root: str | None = None,
     prefix: str = "",
 ) -> DataFrame:
-    """Load a table-name -> CSV-path map; returns (table_name, rows), one pass over each file.
+    """Load a table-name -> CSV-path map; returns (table_name, rows, rejected), one pass over each file.
 
+    With a declared schema, a line with a cell that is not of its type, or with too few or too many cells, is rejected:
+    it goes to the table's ``_rejected`` companion, which a second pass over that file writes.
     ``root`` places each table below that folder instead of the warehouse and
     ``prefix`` goes in front of the stored table names.
     """
-    schemas = schemas or {}
-    counts = [
-        (
-            table,
-            write_counted(
-                read_csv(spark, path, schemas.get(table)),
-                prefix + table,
-                None if root is None else f"{root}/{prefix}{table}",
-            ),
-        )
-        for table, path in files.items()
-    ]
-    return spark.createDataFrame(counts, "table_name string, rows bigint")
+    counts = []
+    for table, path in files.items():
+        schema = (schemas or {}).get(table)
+        df = read_csv(spark, path) if schema is None else read_csv_with_rejects(spark, path, schema)
+        name = prefix + table
+        counts.append((table, *write_counted(df, name, None if root is None else f"{root}/{name}", f"{name}_rejected")))
+    return spark.createDataFrame(counts, "table_name string, rows bigint, rejected bigint")
 
 
 def comment_on(spark: SparkSession, name: str, text: str) -> None:

@@ -59,6 +59,9 @@ WANT = {
     ("holding_P11", "accounts"): 1,
     ("txn_after_as_of", "transactions"): 1, ("opened_before_joining", "accounts"): 1,
 }
+MISSING = {(f"missing_{c}", t): 0 for t, columns in C.REQUIRED.items() for c in columns} | {
+    ("missing_home_branch_id", "customers"): 1, ("missing_txn_date", "transactions"): 1, ("missing_amount_myr", "transactions"): 1,
+}
 
 
 def test_each_check(tables):
@@ -74,13 +77,17 @@ def test_each_check(tables):
     for check in checks:
         found |= violations(check)
     assert found == WANT
+    assert violations(C.dq_missing(t)) == MISSING
 
 
 def test_report_holds_all_checks(tables):
     grain = {"customers": tables["customers"]}
-    found = violations(C.dq_report(tables, AS_OF, customer_grain=grain))
+    expected = tables["customers"].sparkSession.createDataFrame(
+        [("customers", 4), ("accounts", 9)], "table_name string, expected_rows bigint")
+    found = violations(C.dq_report(tables, AS_OF, customer_grain=grain, expected_rows=expected))
     assert found.pop(("one_row_per_customer", "customers")) == 1
-    assert found == WANT
+    assert (found.pop(("row_count", "customers")), found.pop(("row_count", "accounts"))) == (0, 1)
+    assert found == WANT | MISSING
 
 
 def test_checks_on_empty_tables(spark, tables):

@@ -150,7 +150,7 @@ def test_every_customer_has_exactly_one_offer_and_spend_adds_up(spark, small_dir
 SCORERS = {"docs_bm25_topk", "docs_cosine_topk"}
 WRITERS = {
     "src_csv_infer", "src_customer_upload", "src_table_scan", "sink_table_overwrite", "sink_ctas_replace",
-    "bronze_ingest_counts", "meta_comment", "meta_set_tag", "meta_tag_listing",
+    "bronze_ingest_counts", "meta_comment", "meta_set_tag", "dq_report", "dq_one_row_per_customer",
 }
 MODELS = {"ml_leaderboard", "ml_batch_score", "ml_offer_actions"}
 

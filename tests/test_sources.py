@@ -64,11 +64,32 @@ def test_ingest_counts_without_a_second_read(spark, tmp_path, branches_csv):
     counts = tables.ingest(
         spark, {"branches": branches_csv, "transactions": str(tmp_path / "transactions.csv")},
         S.TABLES, str(tmp_path / "bronze"), "raw_")
-    assert {tuple(r) for r in counts.collect()} == {("branches", 2), ("transactions", 6000)}
+    assert {tuple(r) for r in counts.collect()} == {("branches", 2, 0), ("transactions", 6000, 0)}
     assert tables.scan(spark, "raw_transactions").schema == S.TRANSACTIONS
     assert tables.scan(spark, "raw_transactions").count() == 6000
 
 
+def test_bad_lines_are_counted_and_kept(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text("id,amount,day\nA1,1.50,2024-01-31\nA2,\"1,200.50\",2024-01-31\nA3,1,2024-13-01\nA4,2\nA5,,\n")
+    schema = T.StructType.fromDDL("id string, amount double, day date")
+    counts = tables.ingest(spark, {"t": str(path)}, {"t": schema}, str(tmp_path / "out"), "bad_")
+    assert [tuple(r) for r in counts.collect()] == [("t", 2, 3)]
+    assert sorted(r["id"] for r in tables.scan(spark, "bad_t").collect()) == ["A1", "A5"]
+    lines = sorted(r[files.REJECTED] for r in tables.scan(spark, "bad_t_rejected").collect())
+    assert [line[:2] for line in lines] == ["A2", "A3", "A4"]
+
+
+def test_stored_folders_can_be_deleted(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(scratch, "_made", [])
+    kept = scratch.store(spark.range(3))
+    folder = scratch._made[0]
+    assert kept.count() == 3
+    scratch.clean(spark)
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    assert not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def test_comments(spark):
     tables.write_table(spark.range(1), "described")
     tables.comment_on(spark, "described", "One row. It's \\ small")
