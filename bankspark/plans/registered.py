@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,7 +21,7 @@ from bankspark.operators import routing as W
 from bankspark.operators.combine import union_all
 from bankspark.sources import files, tables
 from bankspark.sources.mapping import AS_OF, GivenTables
-from bankspark.sources.scratch import shared_folder, store, table_prefix
+from bankspark.sources.scratch import exists, shared_folder, store, table_prefix
 from bankspark.sources.tags import columns_with_tag, set_tag
 
 COMMENTS = {
@@ -229,6 +230,18 @@ class Bank(GivenTables):
         }
 
 
+_saved: dict[tuple[str, str], str] = {}
+
+
+def offer_model(bank: Bank) -> tuple[DataFrame, PipelineModel]:
+    """The leaderboard and the best model, trained once per session and folder of tables, then loaded."""
+    key = (bank.spark.sparkContext.applicationId, bank.sf_dir)
+    if key not in _saved or not exists(bank.spark, _saved[key]):
+        _saved[key] = shared_folder(bank.spark)
+        O.save(bank.spark, O.train(bank.features), _saved[key])
+    return O.load(bank.spark, _saved[key])
+
+
 def _over_bank(job: Callable[[Bank], DataFrame]) -> Query:
     return lambda spark, sf_dir: job(Bank(spark, sf_dir))
 
@@ -345,9 +358,9 @@ JOBS: dict[str, Callable[[Bank], DataFrame]] = {
     "route_multi": lambda b: W.route_multi(b.user_turns, b.specialists),
     # Offer model
     "ml_split": lambda b: O.ml_split(b.features),
-    "ml_leaderboard": lambda b: O.ml_leaderboard(b.features),
-    "ml_batch_score": lambda b: O.ml_batch_score(b.features),
-    "ml_offer_actions": lambda b: O.ml_offer_actions(b.features),
+    "ml_leaderboard": lambda b: offer_model(b)[0],
+    "ml_batch_score": lambda b: O.score(b.features, offer_model(b)[1]),
+    "ml_offer_actions": lambda b: O.actions(O.score(b.features, offer_model(b)[1])),
 }
 
 

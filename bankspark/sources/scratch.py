@@ -29,6 +29,11 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def exists(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def clean(spark: SparkSession) -> None:
     """Delete the folders this process has taken: for the end of a job, when nothing reads them any more."""
     while _made:

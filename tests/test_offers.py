@@ -42,3 +42,17 @@ def test_batch_scores_cover_every_customer(features, trained):
 
 def test_actions_count_every_customer_once(features, trained):
     assert O.ml_offer_actions(features, trained).agg(F.sum("customers")).first()[0] == features.count()
+
+
+def test_a_saved_model_scores_the_same(spark, features, trained, tmp_path):
+    O.save(spark, trained, str(tmp_path / "model"))
+    board, model = O.load(spark, str(tmp_path / "model"))
+    assert sorted(map(tuple, board.collect())) == sorted(trained.scores)
+    assert O.score(features, model).exceptAll(O.ml_batch_score(features, trained)).isEmpty()
+
+
+def test_holdout_scores(spark):
+    pairs = [(0.0, 0.0)] * 3 + [(0.0, 1.0), (1.0, 1.0), (2.0, 0.0)]
+    f1, accuracy = O.holdout_scores(spark.createDataFrame(pairs, "label_index double, prediction double"))
+    assert accuracy == 4 / 6
+    assert abs(f1 - (4 * (6 / 8) + 1 * (2 / 3) + 0) / 6) < 1e-12
