@@ -61,8 +61,8 @@ def test_large_blocks_are_compared_in_cells(spark, members):
         sets.append(np.unique(x).astype(np.uint64))
     nodes = spark.createDataFrame([(7, i) for i in range(40)], "block long, node long")
     payloads = spark.createDataFrame([(i, s.nbytes, s.tobytes()) for i, s in enumerate(sets)], "node long, bytes long, payload binary")
-    links = cells.linked_within_blocks(nodes, payloads, ngram_join.compare_sets(75), cell_members=members)
-    roots = {r.node: r.root for r in components(links).collect()}
+    connected = cells.connected_within_blocks(nodes, payloads, ngram_join.compare_sets(75), cell_members=members)
+    roots = {r.node: r.root for r in connected.collect()}
     want = cells.Sets(40)
     for i in range(40):
         for j in range(i):
