@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MOST_BITS = 1 << 28  # 32 MB, whatever the number of keys
+FETCHES = 4  # parts in which the words come to the driver
 
 
 def bits_for(keys: int, per_key: int = 64, least: int = 1 << 20) -> int:
@@ -28,8 +29,7 @@ def bit_set(frame: DataFrame, key: str, bits: int) -> np.ndarray:
         F.bit_or(F.expr("shiftleft(1L, cast(place & 63 as int))")).alias("held")
     )
     out = np.zeros(bits >> 6, dtype=np.uint64)
-    rows = words.toLocalIterator()
-    for row in rows:
+    for row in words.coalesce(FETCHES).toLocalIterator():
         out[row.word] = row.held & 0xFFFFFFFFFFFFFFFF
     return out
 
