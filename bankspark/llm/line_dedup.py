@@ -98,7 +98,8 @@ def without_repeated_lines(docs: DataFrame, run: int = RUN) -> DataFrame:
     lines = _lines(text)
     stays = lambda x, i: ~(x.rlike(HAS_WORD) & F.exists("runs", lambda r: (r.first <= i) & (i <= r.last)))
     kept = F.when(F.col("runs").isNull(), lines).otherwise(F.filter(lines, stays))
-    joined = wrapped(docs, row_key=row_key()).join(runs, "row_key", "left").select(
+    # The same join at every size: the runs grow with the documents.
+    joined = wrapped(docs, row_key=row_key()).join(runs.hint("merge"), "row_key", "left").select(
         "doc",
         F.when(text.isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
         F.when(text.isNull(), 0).otherwise(F.size(lines) - F.size(kept)).cast("long").alias("n_deleted"),
