@@ -63,13 +63,13 @@ def capped_targets(sources: DataFrame, share: float, max_epochs: float) -> DataF
 
 
 def _cut_cell(cells: DataFrame, start: Column) -> DataFrame:
-    """Of each source, the cell of the hash range in which its running size passes what is wanted."""
+    """Of each source, the cell of the hash range in which its running size reaches what is wanted."""
     by = Window.partitionBy("source_key").orderBy("cell")
     before = start + F.sum("size").over(by.rowsBetween(Window.unboundedPreceding, -1))
     before = F.coalesce(before, start)
     return (
         cells.withColumn("before", before)
-        .filter((F.col("before") < F.col("want")) & (F.col("want") < F.col("before") + F.col("size")))
+        .filter((F.col("before") < F.col("want")) & (F.col("want") <= F.col("before") + F.col("size")))
         .select("source_key", "want", F.col("cell").alias("cut"), "before")
     )
 
@@ -114,8 +114,11 @@ def cuts(sized: DataFrame, targets: DataFrame) -> DataFrame:
         F.max("hash").alias("last")
     )
     below = F.shiftleft(F.col("cut"), shift + LEVEL_BITS) - 1
-    limit = F.when(F.col("want") <= 0, F.lit(-1)).otherwise(
-        F.coalesce(F.col("last"), below, F.lit((1 << HASH_BITS) - 1))
+    # 0 < want <= source_size always has a cell.
+    limit = (
+        F.when(F.col("want") <= 0, F.lit(-1))
+        .when(F.col("cut").isNull(), F.raise_error(F.lit("a source has no cut")).cast("long"))
+        .otherwise(F.coalesce(F.col("last"), below))
     )
     return (
         plan.join(found.select("source_key", "cut"), "source_key", "left")

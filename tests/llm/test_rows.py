@@ -166,6 +166,22 @@ def test_mixing_meets_its_targets(spark, prose):
     assert [r.taken for r in mixing.op6_mixing(frame(spark, [(1, None), (2, "")])).collect()] == [0, 0]
 
 
+def test_mixing_cuts_on_the_edge_of_a_cell(spark):
+    ten = [(i, "w " * 100, "en", "a") for i in range(10)]
+    assert sorted(r.taken for r in mixing.op6_mixing(frame(spark, ten)).collect()) == [100] * 5 + [200] * 5
+    assert mixing.mixed_documents(frame(spark, ten)).count() == 15
+    # Documents of 10 words in cells of the first round, of the second, and in one cell of both.
+    hashes = sorted((a << 48) + (b << 36) + c for a, b, c in [(0, 0, 1), (0, 0, 9), (0, 7, 0), (5, 0, 0), (5, 4095, 3), (4095, 1, 1)])
+    targets = [(str(t), 60, float(t)) for t in range(0, 121, 5)]
+    sized = spark.createDataFrame([(k, h, 10) for k, *_ in targets for h in hashes], "source_key string, hash long, size long")
+    planned = mixing.cuts(sized, spark.createDataFrame(targets, "source_key string, source_size long, target double")).collect()
+    assert len(planned) == len(targets)
+    for r in planned:
+        whole, want = divmod(int(r.target), 60)
+        more = [want > 0 and 2 * 10 * i + 10 <= 2 * want for i in range(6)]
+        assert r.whole == whole and [h <= r.limit for h in hashes] == more, r
+
+
 PAGES = [
     (1, "http://www.Example.com/en/1?x=1"), (2, "https://sub.www.example.com/en/"), (3, "http://a.example.com/en/x#t"), (4, "http://com/"),
     (5, "http://x.net/es/9"), (6, "http://x.net/fr"), (7, "http://notexample.com/en/"), (8, "http://example.com"), (9, None), (10, "no scheme"),
