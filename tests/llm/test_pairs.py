@@ -215,6 +215,26 @@ def test_substring_dedup_finds_every_long_repeat_and_leaves_the_rest(spark, pros
     assert all(len({k for k, _ in v}) == 1 and all(ok for _, ok in v) for v in by_passage.values())
 
 
+def hot_boilerplate(pairs=40, seed=7):
+    """Pairs of texts that share 55 words of their own, all around the same 47 words; and texts with those words alone."""
+    rng = np.random.default_rng(seed)
+    say = lambda k: [f"w{x}" for x in rng.integers(0, 1 << 40, k)]
+    hot, rows = say(47), []
+    for pair in range(pairs):
+        left = int(rng.integers(0, 9))
+        passage = say(left) + hot + say(8 - left)
+        rows += [(2 * pair + i, " ".join(say(100) + passage + say(100))) for i in range(2)]
+    return rows + [(1000 + i, " ".join(say(100) + hot + say(100))) for i in range(pairs)]
+
+
+def test_substring_dedup_finds_pairs_around_a_hot_passage(spark):
+    rows = hot_boilerplate()
+    found = substring_dedup.passages(frame(spark, rows)).collect()
+    passage = {r.doc_id: r.passage_id for r in found}
+    linked = sum(2 * i in passage and passage[2 * i] == passage.get(2 * i + 1) for i in range(40))
+    assert linked >= 38 and max(passage) < 1000
+
+
 def test_substring_dedup_of_nothing(spark):
     assert substring_dedup.passages(frame(spark, [])).collect() == []
     assert substring_dedup.passages(frame(spark, [(1, None), (2, ""), (3, "short")])).collect() == []
