@@ -97,6 +97,15 @@ def test_one_document_of_each_group_stays(spark, prose):
     assert len(got) == len(set(got)) and set(got) == {(d, t) for d, t in want}
 
 
+def test_one_document_stays_without_ids_or_with_a_repeated_one(spark):
+    base = " ".join(f"w{i}" for i in range(80))
+    rows = [(None, base), (None, base + " x"), (None, "y " + base), (None, None), (None, ""), (None, "other words")]
+    rows += [(5, base.upper().replace("W", "v")), (5, base.replace("w", "v") + " x"), (None, "y " + base.replace("w", "v"))]
+    kept = [(r.doc_id, r.text) for r in ngram_join.one_per_group(frame(spark, rows)).collect()]
+    assert len(kept) == 5 and {(None, None), (None, ""), (None, "other words")} < set(kept)
+    assert sorted(d for d, t in kept if t and len(t) > 100 and d) == [5]
+
+
 ITEM_WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
