@@ -13,6 +13,7 @@ from bankspark.llm import (
     ngram_join,
     quality_rules,
     sharding,
+    source_audit,
     substring_dedup,
     token_counts,
     token_files,
@@ -38,6 +39,7 @@ def queries() -> dict[str, Query]:
         "op8_ngram_join": _over(ngram_join.op8_ngram_join, "documents"),
         "op9_sharding": _over(sharding.op9_sharding, "documents"),
         "op10_substring_dedup": _over(substring_dedup.op10_substring_dedup, "documents"),
+        "op11_source_audit": _over(source_audit.op11_source_audit, "documents"),
     }
 
 
@@ -49,4 +51,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_mixing": mixing.ORACLE,
         "op7_url_filter": url_filter.ORACLE,
         "op8_ngram_join": ngram_join.ORACLE,
+        "op11_source_audit": source_audit.ORACLE,
     }
