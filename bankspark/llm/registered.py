@@ -14,6 +14,7 @@ from bankspark.llm import (
     quality_rules,
     sharding,
     source_audit,
+    spelling,
     substring_dedup,
     token_counts,
     token_files,
@@ -40,6 +41,7 @@ def queries() -> dict[str, Query]:
         "op9_sharding": _over(sharding.op9_sharding, "documents"),
         "op10_substring_dedup": _over(substring_dedup.op10_substring_dedup, "documents"),
         "op11_source_audit": _over(source_audit.op11_source_audit, "documents"),
+        "op12_spelling_variants": _over(spelling.op12_spelling_variants, "documents"),
     }
 
 
@@ -52,4 +54,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_url_filter": url_filter.ORACLE,
         "op8_ngram_join": ngram_join.ORACLE,
         "op11_source_audit": source_audit.ORACLE,
+        "op12_spelling_variants": spelling.ORACLE,
     }
