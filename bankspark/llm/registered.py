@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from bankspark.llm import (
     decontamination,
+    language_id,
     line_dedup,
     mixing,
     ngram_join,
@@ -42,6 +43,7 @@ def queries() -> dict[str, Query]:
         "op10_substring_dedup": _over(substring_dedup.op10_substring_dedup, "documents"),
         "op11_source_audit": _over(source_audit.op11_source_audit, "documents"),
         "op12_spelling_variants": _over(spelling.op12_spelling_variants, "documents"),
+        "op13_language_id": _over(language_id.op13_language_id, "documents"),
     }
 
 

@@ -43,8 +43,8 @@ SLICE = 8 << 20
 HELD_ROWS = 1_000_000  # counts that a task holds before it hands them on
 GROUPS = 12  # of letters, the code point modulo this
 DEPTHS = range(2, 9)  # levels above the cut
-BUCKET = 1 << 15  # words searched as one trie
-SEARCHES = 1 << 17  # searches of one trie at once
+BUCKET = 1 << 12  # words searched as one trie
+SEARCHES = 1 << 13  # searches of one trie at once
 FRONTIER = 1 << 19  # branches followed at once
 WIDE = 64  # letters; longer words are verified one pair at a time
 CELLS = 1 << 23  # letters compared at once
