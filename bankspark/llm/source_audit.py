@@ -181,7 +181,7 @@ def diverge(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return (p - q) * (p - q) // (p + q)
 
 
-def _meet(key: tuple, table: pa.Table) -> pa.Table:
+def _meet(key: tuple, table: pa.Table, size_of_tile: int) -> pa.Table:
     """The block's part of the value of each pair of sources of two tiles."""
     lang, _, _, low, high = (k.as_py() for k in key)
     column = {c: table[c].to_numpy() for c in ("idx", "n", "word", "bits", "denominator")}
@@ -198,7 +198,7 @@ def _meet(key: tuple, table: pa.Table) -> pa.Table:
     share_of = _shares(column["n"][rows][order], column["denominator"][rows][order])
     count = np.bitwise_count(bits).astype(np.int64)
     ends = np.searchsorted(at, np.arange(len(idx) + 1))
-    tile = idx // TILE
+    tile = idx // size_of_tile
     out = {"a": [], "b": [], "value": []}
     for a in np.flatnonzero(tile == low):
         others = np.flatnonzero((tile == high) & (idx > idx[a]))
@@ -259,6 +259,11 @@ def pair_values(levels: DataFrame, kept: DataFrame, groups: DataFrame) -> DataFr
         "lang", "class", "block", "idx", F.lit(0).cast("bigint").alias("n"), F.lit(-1).cast("bigint").alias("word"),
         F.col("size").alias("bits"), "n_all", "v",
     )
+    size_of_tile = TILE
+
+    def meet(key: tuple, table: pa.Table) -> pa.Table:
+        return _meet(key, table, size_of_tile)
+
     tiles = groups.groupBy("lang").agg((F.max("idx") / TILE).cast("int").alias("last_tile"))
     rows = placed.select(*present.columns).unionByName(present).join(tiles, "lang")
     tile, other = F.expr(f"idx div {TILE}").cast("int"), F.col("other")
@@ -268,7 +273,7 @@ def pair_values(levels: DataFrame, kept: DataFrame, groups: DataFrame) -> DataFr
             "lang", "class", "block", F.least(tile, other).alias("low"), F.greatest(tile, other).alias("high"),
             "idx", "n", "word", "bits", F.expr("n_all + 2 * v").alias("denominator"),
         )
-        .groupBy("lang", "class", "block", "low", "high").applyInArrow(_meet, PARTS)
+        .groupBy("lang", "class", "block", "low", "high").applyInArrow(meet, PARTS)
         .groupBy("lang", "a", "b").agg(F.sum("value").alias("value"))
     )
 

@@ -1,210 +1,33 @@
-"""Ranked retrieval: the k best documents per question.
-
-Terms are looked up in an index of the terms that any question has.  Vectors
-stay where they are: the questions are a stated query set against all of them,
-in blocks of bounded size; a task scores its vectors against a block and keeps
-only its own k best per question, which is all that is shuffled.  More
-questions than a block holds are answered in several blocks.
-"""
+"""Ranked retrieval: the k best documents per question, over stored indexes (see ``search``)."""
 
 from __future__ import annotations
 
-import math
-import sys
-from collections.abc import Callable, Iterator
-
-import numpy as np
-import pyarrow as pa
-from pyspark import cloudpickle
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from bankspark.functions.text import tokens
-from bankspark.operators.combine import union_all
-from bankspark.operators.documents import term_postings
+from bankspark.operators.search import search_vectors, search_words, vector_index, word_index
 from bankspark.sources.scratch import store
 
-# Executors get the scorers with the task, so this package need not be installed there.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 TOP_K = 5
-VECTORS_PER_BLOCK = 512
-ROWS_PER_STEP = 1024
-CELLS_PER_STEP = 4_000_000
-# The two BM25 parameters.
-K1 = 1.2
-B = 0.75
-BM25_PLACES = 4
-COSINE_PLACES = 6
-
-
-class BestPerQuestion:
-    """Running k best documents per question: higher score first, then lower document id."""
-
-    def __init__(self, question_ids: np.ndarray, k: int):
-        self.question_ids = question_ids
-        self.k = k
-        self.floor = np.full(len(question_ids), -np.inf)
-        self.question = np.empty(0, dtype=np.int64)
-        self.doc = np.empty(0, dtype=np.int64)
-        self.score = np.empty(0)
-
-    def offer(self, docs: np.ndarray, scores: np.ndarray, eligible: np.ndarray | None = None) -> None:
-        """Take in a (documents x questions) score matrix."""
-        candidate = scores >= self.floor
-        if eligible is not None:
-            candidate &= eligible
-        rows, questions = np.nonzero(candidate)
-        if len(rows) == 0:
-            return
-        question = np.concatenate([self.question, questions])
-        doc = np.concatenate([self.doc, docs[rows]])
-        score = np.concatenate([self.score, scores[rows, questions]])
-        order = np.lexsort((doc, -score, question))
-        question, doc, score = question[order], doc[order], score[order]
-        rank = np.arange(len(question)) - np.searchsorted(question, question)
-        last = rank == self.k - 1
-        self.floor[question[last]] = score[last]
-        keep = rank < self.k
-        self.question, self.doc, self.score = question[keep], doc[keep], score[keep]
-
-    def batch(self) -> pa.RecordBatch:
-        return pa.RecordBatch.from_pydict({
-            "question_id": pa.array(self.question_ids[self.question], pa.int64()),
-            "doc_id": pa.array(self.doc, pa.int64()),
-            "score": pa.array(self.score, pa.float64()),
-        })
-
-
-BEST_SCHEMA = "question_id bigint, doc_id bigint, score double"
-
-
-def _in_parts(batches: Iterator[pa.RecordBatch], cells_per_row: int) -> Iterator[pa.RecordBatch]:
-    """Slices of the batches, so small that the work arrays of one slice stay within ``CELLS_PER_STEP``."""
-    rows = max(1, min(ROWS_PER_STEP, CELLS_PER_STEP // max(1, cells_per_row)))
-    for batch in batches:
-        for start in range(0, batch.num_rows, rows):
-            yield batch.slice(start, rows)
-
-
-def _question_blocks(questions: DataFrame, weights: DataFrame, bound: int) -> list[DataFrame]:
-    """Split the questions by the hash of their id into parts of about ``bound`` weight.
-
-    ``weights`` is (question_id, weight).  The parts are weighed before use and
-    split further while one exceeds four times the bound (or the heaviest
-    question, which cannot be split), so what a task receives has a known limit.
-    """
-    total = weights.agg(F.sum("weight").alias("all"), F.max("weight").alias("heaviest")).first()
-    if not total["all"]:
-        return []
-    limit = 4 * max(bound, total["heaviest"])
-    parts = math.ceil(total["all"] / bound)
-    while parts > 1:
-        part = F.pmod(F.xxhash64("question_id"), F.lit(parts))
-        loads = weights.groupBy(part.alias("part")).agg(F.sum("weight").alias("weight"))
-        if loads.agg(F.max("weight")).first()[0] <= limit:
-            return [questions.filter(part == i) for i in range(parts)]
-        parts *= 2
-    return [questions]
-
-
-def _best_of_all(candidates: list[DataFrame], k: int) -> DataFrame:
-    """Merge the k best of every task.  Spark limits the groups before it shuffles them."""
-    best_first = Window.partitionBy("question_id").orderBy(F.desc("score"), "doc_id")
-    return (
-        union_all(candidates)
-        .withColumn("rank", F.row_number().over(best_first))
-        .filter(F.col("rank") <= k)
-        .select("question_id", F.col("rank").cast("bigint").alias("rank"), "doc_id", "score")
-    )
 
 
-def docs_bm25_topk(documents: DataFrame, questions: DataFrame, k: int = TOP_K) -> DataFrame:
+def docs_bm25_topk(documents: DataFrame, questions: DataFrame, k: int = TOP_K, report: Observation | None = None) -> DataFrame:
     """The k best documents per question (question_id, text) by BM25, with the score as citation.
 
     Returns (question_id, rank, doc_id, score).  Documents that share no term with a question are never returned for
-    it.  The corpus is tokenised once, whatever the number of questions: the counts of the terms that any question has
-    are stored, with the corpus figures taken on the way, and scores exist only where a document and a question share
-    a term.  A term that stands in many documents is a hot key of the join on the documents' side alone, which
-    adaptive execution splits.
+    it.  The index is stored in the shared folder; ``report`` tells how many of the asked terms' postings were read.
     """
-    asked = store(questions.select("question_id", F.explode(F.array_distinct(tokens("text"))).alias("term")))
-    if asked.isEmpty():
-        return _no_ranks(documents, asked)
-    seen = Observation()
-    counted = documents.select("doc_id", F.sort_array(tokens(F.coalesce("text", F.lit("")))).alias("terms")).observe(
-        seen, F.count(F.lit(1)).alias("documents"), F.sum(F.size("terms")).alias("length")
-    )
-    postings = store(term_postings(counted).join(asked.select("term").distinct(), "term", "left_semi"))
-    if not seen.get["length"]:
-        return _no_ranks(documents, asked)
-    n, mean = F.lit(seen.get["documents"]), F.lit(seen.get["length"] / seen.get["documents"])
-    known = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    idf = F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    askers = asked.join(known, "term").select("question_id", "term", idf.alias("idf"))
-    tf = F.col("tf")
-    weight = F.col("idf") * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("doc_len") / mean))
-    best_first = Window.partitionBy("question_id").orderBy(F.desc("score"), "doc_id")
-    return (
-        postings.join(askers, "term")
-        .groupBy("question_id", "doc_id").agg(F.round(F.sum(weight), BM25_PLACES).alias("score"))
-        .filter("score > 0")
-        .withColumn("rank", F.row_number().over(best_first))
-        .filter(F.col("rank") <= k)
-        .select("question_id", F.col("rank").cast("bigint").alias("rank"), "doc_id", "score")
-    )
-
-
-def _no_ranks(documents: DataFrame, asked: DataFrame) -> DataFrame:
-    nothing = {"question_id": asked.schema["question_id"].dataType, "rank": "bigint", "score": "double"}
-    empty = documents.limit(0).select("doc_id", *(F.lit(None).cast(t).alias(c) for c, t in nothing.items()))
-    return empty.select("question_id", "rank", "doc_id", "score")
-
-
-def _no_answers(df: DataFrame) -> DataFrame:
-    return df.sparkSession.createDataFrame([], BEST_SCHEMA)
-
-
-def _unit(vectors: np.ndarray) -> np.ndarray:
-    length = np.linalg.norm(vectors, axis=1, keepdims=True)
-    return np.divide(vectors, length, out=np.zeros_like(vectors), where=length > 0)
-
-
-def _cosine_scorer(
-    question_ids: np.ndarray, questions: np.ndarray, k: int
-) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = BestPerQuestion(question_ids, k)
-        for part in _in_parts(batches, len(question_ids)):
-            numbers = part.column("embedding").flatten().to_numpy(zero_copy_only=False)
-            vectors = _unit(numbers.astype(np.float64).reshape(part.num_rows, questions.shape[1]))
-            best.offer(part.column("doc_id").to_numpy(), np.round(vectors @ questions.T, COSINE_PLACES))
-        yield best.batch()
-
-    return run
+    return search_words(store(word_index(documents)), questions, k, report)
 
 
-def docs_cosine_topk(
-    vectors: DataFrame, questions: DataFrame, k: int = TOP_K, per_block: int = VECTORS_PER_BLOCK
-) -> DataFrame:
+def docs_cosine_topk(vectors: DataFrame, questions: DataFrame, k: int = TOP_K, report: Observation | None = None) -> DataFrame:
     """The k nearest vectors (doc_id, embedding) per question vector (question_id, embedding).
 
-    Returns (question_id, rank, doc_id, score), exact over all vectors.
+    Returns (question_id, rank, doc_id, score), exact over all vectors; ``report`` tells how many cells were read.
     """
-    vectors = vectors.filter(F.col("embedding").isNotNull())
-    questions = questions.filter(F.col("embedding").isNotNull())
-    weights = questions.select("question_id", F.lit(1).alias("weight"))
-    candidates = []
-    for block in _question_blocks(questions, weights, per_block):
-        asked = block.toPandas()
-        if asked.empty:
-            continue
-        unit = _unit(np.stack(asked["embedding"].to_list()).astype(np.float64))
-        scorer = _cosine_scorer(asked["question_id"].to_numpy(), unit, k)
-        candidates.append(vectors.select("doc_id", "embedding").mapInArrow(scorer, BEST_SCHEMA))
-    return _best_of_all(candidates or [_no_answers(vectors)], k)
+    return search_vectors(store(vector_index(vectors)), questions, k, report)
 
 
 def topic_vectors(vectors: DataFrame) -> DataFrame:

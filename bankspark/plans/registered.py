@@ -108,7 +108,7 @@ class Bank(GivenTables):
 
     @property
     def specialists(self) -> DataFrame:
-        return W.vocabularies(self.raw("documents"), "lang")
+        return W.vocabularies(self.documents, "lang")
 
     @property
     def vectors(self) -> DataFrame:
@@ -341,8 +341,8 @@ JOBS: dict[str, Callable[[Bank], DataFrame]] = {
     "dq_missing": lambda b: C.dq_missing(b.tables),
     "dq_report": lambda b: b.report(),
     # Documents
-    "docs_chunk_words": lambda b: D.docs_chunk_words(b.raw("documents")),
-    "docs_chunk_wrap": lambda b: D.docs_chunk_wrap(b.raw("documents")),
+    "docs_chunk_words": lambda b: D.docs_chunk_words(b.documents),
+    "docs_chunk_wrap": lambda b: D.docs_chunk_wrap(b.documents),
     "docs_facts": lambda b: b.facts,
     "docs_rate_parse": lambda b: D.docs_rate_parse(b.facts),
     "docs_amount_parse": lambda b: D.docs_amount_parse(b.facts),
@@ -350,9 +350,9 @@ JOBS: dict[str, Callable[[Bank], DataFrame]] = {
     "docs_compare_products": lambda b: D.docs_compare_products(b.facts, "ECONOMY", "PROMO"),
     "docs_catalog_reconcile": lambda b: D.docs_catalog_reconcile(
         b.catalog, D.sheet_rates(b.facts, "doc_id"), "doc_id"),
-    "docs_term_stats": lambda b: D.docs_term_stats(b.raw("documents")),
-    "docs_document_frequency": lambda b: D.docs_document_frequency(b.raw("documents")),
-    "docs_bm25_topk": lambda b: R.docs_bm25_topk(b.raw("documents"), b.questions),
+    "docs_term_stats": lambda b: D.docs_term_stats(b.documents),
+    "docs_document_frequency": lambda b: D.docs_document_frequency(b.documents),
+    "docs_bm25_topk": lambda b: R.docs_bm25_topk(b.documents, b.questions),
     "docs_cosine_topk": lambda b: R.docs_cosine_topk(b.vectors, R.topic_vectors(b.vectors)),
     "route_questions": lambda b: W.route_questions(b.user_turns, b.specialists),
     "route_multi": lambda b: W.route_multi(b.user_turns, b.specialists),

@@ -55,3 +55,15 @@ def doc_inventory(spark: SparkSession, folder: str, extension: str = "pdf") -> D
         )
         .orderBy("file_name", "path")
     )
+
+
+def dealt_out(scan: DataFrame, least_bytes: int = 4 << 20) -> DataFrame:
+    """A scan that fewer tasks read than there are cores, dealt out to all cores before costly work on each row.
+
+    A file of one row group is read by one task.  Tables of many files, and small ones, stay as they are.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    size = int(str(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size < least_bytes or scan.rdd.getNumPartitions() >= cores:
+        return scan
+    return scan.repartition(cores)

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bankspark import schemas as S
+from bankspark.sources.files import dealt_out
 from bankspark.sources.literals import literal_table
 
 # A month end, so that the month-end rule of months_between is exercised.
@@ -195,6 +196,11 @@ class GivenTables:
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    @cached_property
+    def documents(self) -> DataFrame:
+        """The texts, for jobs that read them word by word."""
+        return dealt_out(self.raw("documents"))
+
     @cached_property
     def branches(self) -> DataFrame:
         return map_branches(self.raw("nation"), self.raw("region"))

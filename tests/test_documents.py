@@ -8,10 +8,11 @@ import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Observation
 
 from bankspark import schemas as S
 from bankspark.operators import documents as D
-from bankspark.operators import retrieval, routing
+from bankspark.operators import retrieval, routing, search
 from bankspark.sources.scratch import store
 
 QUIET = settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -184,9 +185,8 @@ def brute_bm25(docs, questions, k):
     return out
 
 
-def test_bm25_matches_brute_force(spark, monkeypatch):
-    stored = []
-    monkeypatch.setattr(retrieval, "store", lambda df: stored.append(df) or store(df))
+@pytest.mark.parametrize("per_segment,per_block", [(512, 512), (16, 2), (1, 512)])
+def test_bm25_matches_brute_force(spark, per_segment, per_block):
     rng = np.random.default_rng(3)
     vocabulary = [f"t{i}" for i in range(40)]
     docs = [(i, " ".join(rng.choice(vocabulary, rng.integers(1, 60)))) for i in range(200)]
@@ -194,23 +194,36 @@ def test_bm25_matches_brute_force(spark, monkeypatch):
     questions = [(i, " ".join(rng.choice(vocabulary, 4))) for i in range(12)] + [(12, "unknown words")]
     corpus = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3)
     asked = spark.createDataFrame(questions, "question_id bigint, text string")
-    got = retrieval.docs_bm25_topk(corpus, asked, 5).collect()
+    # Two indexes put together: their weights are for different reference lengths.
+    index = search.word_index(corpus.filter("doc_id < 150"), per_segment).union(search.word_index(corpus.filter("doc_id >= 150"), per_segment))
+    got = search.search_words(store(index), asked, 5, per_block=per_block).collect()
     assert sorted(tuple(r) for r in got) == brute_bm25(docs, questions, 5)
-    assert len(stored) == 2  # the question terms and the corpus counts, however many questions there are
     named = corpus.selectExpr("concat('d', lpad(doc_id, 4, '0')) AS doc_id", "text")
     by_name = retrieval.docs_bm25_topk(named, asked, 5).collect()
     assert sorted((q, r, int(d[1:]), s) for q, r, d, s in by_name) == brute_bm25(docs, questions, 5)
 
 
+def test_bm25_reads_little_for_telling_words(spark):
+    """Documents that a few telling words single out: the postings of common words are left alone."""
+    rng = np.random.default_rng(4)
+    docs = [(i, " ".join(f"w{int(x)}" for x in rng.zipf(1.3, 80) if x < 500)) for i in range(1500)]
+    docs += [(1500 + i, "amber basalt cobalt dune " * 3 + "w1 w2") for i in range(30)]
+    questions = [(1, "amber basalt cobalt dune w1 w2 w3 w4 w5 w6")]
+    corpus = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(2)
+    report = Observation()
+    got = retrieval.docs_bm25_topk(corpus, spark.createDataFrame(questions, "question_id bigint, text string"), 5, report)
+    assert sorted(tuple(r) for r in got.collect()) == brute_bm25(docs, questions, 5)
+    assert report.get["n_read"] < 0.4 * report.get["n_asked"]
+
+
 def test_bm25_without_answers(spark):
     asked = spark.createDataFrame([(1, "tea")], "question_id bigint, text string")
     assert retrieval.docs_bm25_topk(_docs(spark, "", None), asked).count() == 0
     assert retrieval.docs_bm25_topk(_docs(spark, "tea"), asked.filter("question_id > 5")).count() == 0
 
 
-@pytest.mark.parametrize("per_block", [512, 2])
-def test_cosine_matches_brute_force(spark, monkeypatch, per_block):
-    monkeypatch.setattr(retrieval, "CELLS_PER_STEP", 40)
+@pytest.mark.parametrize("per_block,pivots,per_cell", [(512, 64, 2048), (2, 5, 7), (512, 1, 1)])
+def test_cosine_matches_brute_force(spark, per_block, pivots, per_cell):
     rng = np.random.default_rng(5)
     vectors = rng.normal(size=(300, 8))
     vectors[200:] = vectors[7]  # a third are copies
@@ -221,7 +234,7 @@ def test_cosine_matches_brute_force(spark, monkeypatch, per_block):
     ).repartition(4)
     questions = spark.createDataFrame(
         [(i, v.tolist()) for i, v in enumerate(asked)], "question_id bigint, embedding array<double>")
-    got = retrieval.docs_cosine_topk(docs, questions, 4, per_block).collect()
+    got = search.search_vectors(store(search.vector_index(docs, pivots, per_cell)), questions, 4, per_block=per_block).collect()
     stored = vectors.astype(np.float32).astype(np.float64)
     length = np.linalg.norm(stored, axis=1)
     similar = np.round((stored @ asked.T) / np.outer(np.where(length > 0, length, 1), np.linalg.norm(asked, axis=1)), 6)
@@ -231,6 +244,29 @@ def test_cosine_matches_brute_force(spark, monkeypatch, per_block):
         for rank, (s, d) in enumerate(sorted((-similar[d, q], d) for d in range(300))[:4], 1)
     ]
     assert sorted(tuple(r) for r in got) == want
+    named = docs.selectExpr("concat('v', lpad(doc_id, 4, '0')) AS doc_id", "embedding")
+    by_name = retrieval.docs_cosine_topk(named, questions.selectExpr("concat('q', question_id) AS question_id", "embedding"), 4)
+    assert sorted((int(q[1:]), r, int(d[1:]), s) for q, r, d, s in by_name.collect()) == want
+
+
+def test_cosine_leaves_out_far_cells(spark):
+    rng = np.random.default_rng(7)
+    centres = rng.normal(size=(20, 16))
+    vectors = [(i, (centres[i % 20] + rng.normal(0, 0.05, 16)).tolist()) for i in range(2000)]
+    docs = spark.createDataFrame(vectors, "doc_id bigint, embedding array<double>").repartition(2)
+    asked = spark.createDataFrame([(q, centres[q].tolist()) for q in range(20)], "question_id bigint, embedding array<double>")
+    report = Observation()
+    got = retrieval.docs_cosine_topk(docs, asked, 3, report).collect()
+    assert len(got) == 60 and all(r["doc_id"] % 20 == r["question_id"] for r in got)
+    assert report.get["n_read"] < 0.3 * report.get["n_asked"]
+
+
+def test_cosine_without_answers(spark):
+    none = spark.createDataFrame([(1, None)], "doc_id bigint, embedding array<float>")
+    some = spark.createDataFrame([(1, [1.0, 0.0])], "doc_id bigint, embedding array<float>")
+    ask = lambda df: df.withColumnRenamed("doc_id", "question_id")
+    assert retrieval.docs_cosine_topk(none, ask(some)).count() == 0
+    assert retrieval.docs_cosine_topk(some, ask(none)).count() == 0
 
 
 DESCRIPTIONS = [

@@ -194,9 +194,9 @@ def test_scorers_travel_with_the_task():
     import numpy as np
     from pyspark import cloudpickle
 
-    from bankspark.operators import retrieval
+    from bankspark.operators import search
 
-    scorer = retrieval._cosine_scorer(np.arange(2), np.eye(2), 1)
+    scorer = search._cells(np.eye(2), 1)
     script = textwrap.dedent("""
         import sys
         from pyspark import cloudpickle
@@ -207,7 +207,7 @@ def test_scorers_travel_with_the_task():
     """)
     done = subprocess.run(
         [sys.executable, "-c", script], input=cloudpickle.dumps(scorer).hex(), cwd="/", text=True, capture_output=True)
-    assert done.stdout.split() == ["2", "False"], done.stderr
+    assert done.stdout.split() == ["1", "False"], done.stderr
 
 
 @pytest.fixture()
