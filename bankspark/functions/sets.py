@@ -8,6 +8,17 @@ from pyspark.sql import functions as F
 BITS = 63  # of a BIGINT that are used
 
 
+def known_bits(column: str, known: Sequence[str]) -> list[Column]:
+    """Each listed value as one bit of a BIGINT (of several, for a longer list); NULL for other values."""
+    out = []
+    for start in range(0, len(known), BITS):
+        bit = F.lit(None).cast("bigint")
+        for position, value in enumerate(known[start : start + BITS]):
+            bit = F.when(F.col(column) == value, F.lit(1 << position).cast("bigint")).otherwise(bit)
+        out.append(bit)
+    return out
+
+
 def count_distinct_known(column: str, known: Sequence[str]) -> Column:
     """Exact distinct count of a column whose values mostly come from a list.
 
@@ -17,9 +28,6 @@ def count_distinct_known(column: str, known: Sequence[str]) -> Column:
     that no second shuffle by value is planned.
     """
     count = F.size(F.collect_set(F.when(~F.col(column).isin(list(known)), F.col(column)))).cast("bigint")
-    for start in range(0, len(known), BITS):
-        bit = F.lit(None).cast("bigint")
-        for position, value in enumerate(known[start : start + BITS]):
-            bit = F.when(F.col(column) == value, F.lit(1 << position).cast("bigint")).otherwise(bit)
+    for bit in known_bits(column, known):
         count = count + F.coalesce(F.bit_count(F.bit_or(bit)), F.lit(0))
     return count

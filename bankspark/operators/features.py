@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bankspark.functions.dates import whole_months
-from bankspark.functions.money import avg_money, units, from_units, ratio2, sum_money
-from bankspark.functions.sets import count_distinct_known
+from bankspark.functions.money import avg_of_units, from_units, ratio2, units
+from bankspark.functions.sets import known_bits
 from bankspark.schemas import CATEGORIES, INCOME_BANDS
 
 # The channels that count as digital in the engagement score, and
@@ -43,12 +43,20 @@ def feat_txn(transactions: DataFrame, as_of: dt.date | None = None, window_days:
             raise ValueError("window_days needs as_of")
         first = as_of - dt.timedelta(days=window_days)
         transactions = transactions.filter((F.col("txn_date") > first) & (F.col("txn_date") <= as_of))
-    return transactions.groupBy("customer_id").agg(
-        F.count(F.lit(1)).alias("txn_count_90d"),
-        avg_money("amount_myr").alias("avg_txn_amount"),
-        sum_money("amount_myr").alias("total_spend"),
-        count_distinct_known("category", CATEGORIES).alias("category_variety"),
-        F.count_if(F.col("channel").isin(DIGITAL_CHANNELS)).alias("digital_txns"),
+    # Categories of the list are bits; one off the list is a row of its own, and counts when these rows are added up.
+    # All of it fits a plain hash aggregate, whatever the number of categories.
+    amount, (bits,) = units("amount_myr"), known_bits("category", CATEGORIES)
+    off_list = F.when(~F.col("category").isin(CATEGORIES), F.col("category"))
+    by_category = transactions.groupBy("customer_id", off_list.alias("off_list")).agg(
+        F.count(F.lit(1)).alias("txns"), F.count(amount).alias("amounts"), F.sum(amount).alias("units"),
+        F.bit_or(bits).alias("bits"), F.count_if(F.col("channel").isin(DIGITAL_CHANNELS)).alias("digital"),
+    )
+    return by_category.groupBy("customer_id").agg(
+        F.sum("txns").alias("txn_count_90d"),
+        avg_of_units(F.sum("units"), F.sum("amounts")).alias("avg_txn_amount"),
+        from_units(F.sum("units")).alias("total_spend"),
+        (F.coalesce(F.bit_count(F.bit_or("bits")), F.lit(0)) + F.count("off_list")).alias("category_variety"),
+        F.sum("digital").alias("digital_txns"),
     )
 
 

@@ -15,14 +15,16 @@ from bankspark.operators import governance as G
 from bankspark.operators import medallion as M
 from bankspark.operators import metrics as Q
 from bankspark.operators import offers as O
+from bankspark.operators import policies as V
 from bankspark.operators import quality as C
 from bankspark.operators import retrieval as R
+from bankspark.operators import rollup as L
 from bankspark.operators import routing as W
 from bankspark.operators.combine import union_all
 from bankspark.sources import files, tables
-from bankspark.sources.mapping import AS_OF, GivenTables
+from bankspark.sources.mapping import AS_OF, GivenTables, customers_view_sql
 from bankspark.sources.scratch import exists, shared_folder, store, table_prefix
-from bankspark.sources.tags import columns_with_tag, set_tag
+from bankspark.sources.tags import columns_with_tag, scan_tagged, set_tag, tag_table
 
 COMMENTS = {
     "transactions": "One row per transaction: amount in MYR, channel, category and merchant.",
@@ -157,10 +159,17 @@ class Bank(GivenTables):
         return stored
 
     def comment(self) -> DataFrame:
-        """Two described tables: their comments as the catalog returns them, and their rows."""
+        """Two described tables: their comments as the catalog returns them, and their rows.
+
+        The table of transactions stands over the files as they are (a line item is a transaction).
+        """
         described = []
         for table, text in COMMENTS.items():
-            name = self.store(table, self.tables[table])
+            if table == "transactions":
+                name = table_prefix() + table
+                tables.attach(self.spark, name, f"{self.sf_dir}/lineitem.parquet")
+            else:
+                name = self.store(table, self.tables[table])
             tables.comment_on(self.spark, name, text)
             described.append(tables.scan(self.spark, name).agg(F.count(F.lit(1)).alias("row_count")).select(
                 F.lit(table).alias("table_name"), F.lit(tables.comment_of(self.spark, name)).alias("comment"), "row_count",
@@ -169,9 +178,30 @@ class Bank(GivenTables):
 
     def tagged_columns(self) -> DataFrame:
         """The key and the columns that a stored table has tagged as personal."""
-        stored = tables.scan(self.spark, self.store("customers", self.tagged_customers))
+        name = self.customers_view()
+        tag_table(self.spark, name, "region", "pii", "true")
+        stored = scan_tagged(self.spark, name)
         return stored.select("customer_id", *columns_with_tag(stored, "pii", "true"))
 
+    def customers_view(self) -> str:
+        """A view of the customers over the given files, by name; nothing is copied."""
+        prefix = table_prefix()
+        for given in ("customer", "nation", "region"):
+            tables.attach(self.spark, prefix + given, f"{self.sf_dir}/{given}.parquet")
+        self.spark.sql(customers_view_sql(prefix))
+        return f"{prefix}customers"
+
+    def protected_customers(self) -> DataFrame:
+        """Customers as the session's user, who has the groups of one principal, sees them by the table's name."""
+        base, prefix = self.customers_view(), table_prefix()
+        tag_table(self.spark, base, "name", "pii", "true")
+        tag_table(self.spark, base, "region", "region_filter", "true")
+        own = G.groups_of(self.group_members, PRINCIPAL).select(F.current_user().alias("principal"), F.col("_group").alias("group_name"))
+        tables.write_table(own, prefix + "members", f"{shared_folder(self.spark)}/members")
+        tables.write_table(V.policy_rows(self.spark, POLICIES), prefix + "policies", f"{shared_folder(self.spark)}/policies")
+        V.protect(self.spark, base, prefix + "visible", prefix + "policies", prefix + "members")
+        return self.spark.sql(f"SELECT customer_id, name, region FROM {prefix}visible")
+
     # Governance
 
     def masked_twice_tagged(self) -> DataFrame:
@@ -209,17 +239,9 @@ class Bank(GivenTables):
         built |= {"silver_customer_dim": self.silver_dim, "silver_transactions": self.silver_txn}
         return C.dq_row_counts(built, self.expected_rows(), tolerance=0.1)
 
-    def stored_tables(self) -> Bank:
-        """The same bank over stored tables: a report that reads a table for many checks maps it once."""
-        stored = Bank(self.spark, self.sf_dir)
-        stored.__dict__ |= {t: store(df) for t, df in self.tables.items() if t != "products"}
-        return stored
-
     def report(self) -> DataFrame:
-        """All checks on the stored tables, those of customer grain included."""
-        bank = self.stored_tables()
-        grain = {t: store(df) for t, df in bank.customer_grain.items()}
-        return C.dq_report(bank.tables, AS_OF, FORMATS, grain, self.expected_rows())
+        """All checks, those of customer grain included; nothing is copied."""
+        return C.dq_report(self.tables, AS_OF, FORMATS, self.customer_grain, self.expected_rows())
 
     @property
     def customer_grain(self) -> dict[str, DataFrame]:
@@ -300,6 +322,8 @@ JOBS: dict[str, Callable[[Bank], DataFrame]] = {
     "dash_customers_by_state": lambda b: Q.dash_customers_by_state(b.profile, b.transactions),
     "dash_spend_by_month": lambda b: Q.dash_spend_by_month(b.profile, b.transactions),
     "dash_avg_txn_by_channel": lambda b: Q.dash_avg_txn_by_channel(b.profile, b.transactions),
+    "dash_rollup": lambda b: L.spend_by(
+        store(L.spend_cells(b.profile, b.transactions)), ["region", "txn_month"], DASHBOARD_CHOICE),
     "dash_kpis": lambda b: Q.dash_kpis(b.gold),
     # Analyst questions
     "qa_customers_in_state": lambda b: Q.qa_customers_in_state(b.profile, HOME_STATE),
@@ -321,6 +345,7 @@ JOBS: dict[str, Callable[[Bank], DataFrame]] = {
     "gov_row_filter": lambda b: b.visible_branches(),
     "gov_group_coverage": lambda b: G.group_coverage(
         b.raw("customer").select(F.col("c_custkey").alias("principal")), b.group_members),
+    "gov_protected_view": lambda b: b.protected_customers(),
     "gov_enforced_silver": lambda b: b.enforced_silver(),
     "gov_branch_visibility": lambda b: G.branch_visibility(b.branches),
     # Quality
@@ -336,8 +361,7 @@ JOBS: dict[str, Callable[[Bank], DataFrame]] = {
     "dq_holding_rules": lambda b: C.dq_holding_rules(b.customers, b.accounts),
     "dq_dates": lambda b: C.dq_dates(b.customers, b.accounts, b.transactions, AS_OF),
     "dq_row_counts": lambda b: b.row_counts(),
-    "dq_one_row_per_customer": lambda b: C.dq_one_row_per_customer(
-        {t: store(df) for t, df in b.customer_grain.items()}),
+    "dq_one_row_per_customer": lambda b: C.dq_one_row_per_customer(b.customer_grain),
     "dq_missing": lambda b: C.dq_missing(b.tables),
     "dq_report": lambda b: b.report(),
     # Documents

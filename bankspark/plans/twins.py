@@ -419,6 +419,10 @@ select state, count(distinct customer_id) as customers, {_SUM_BY} as total_amoun
 select cast(date_trunc('month', txn_date) as timestamp) as txn_month, {_SUM_BY} as total_amount
 from dash group by 1""",
     "dash_avg_txn_by_channel": f"select channel, {_mean('amount_myr')} as avg_amount from dash group by channel",
+    "dash_rollup": f"""
+select region, cast(date_trunc('month', txn_date) as timestamp) as txn_month, count(distinct customer_id) as customers,
+  count(amount_myr) as txns, {_SUM_BY} as total_amount from dash
+where segment in ('Affluent', 'Senior') and region in ('Central', 'East Coast', 'Northern') group by 1, 2""",
     "dash_kpis": f"""
 select count(*) as customers, {_total('total_spend_myr')} as total_spend,
   {_mean('total_balance_myr')} as avg_balance, cast(sum(products_held) as bigint) as products_held from gold""",
@@ -458,6 +462,9 @@ group by segment order by 2, 1 limit 1""",
     "gov_mask_second_tag": "select * replace ('***REDACTED***' as region, '***REDACTED***' as name) from customers",
     "gov_region_group":
         "select customer_id, concat('team_', lower(replace(region, ' ', '_'))) as group_name from customers",
+    "gov_protected_view": """
+select customer_id, '***REDACTED***' as name, region from customers
+where concat('team_', lower(replace(region, ' ', '_'))) in (select group_name from group_members where principal = 1)""",
     "gov_row_filter": "select * from my_branches",
     "gov_group_coverage": """
 select c_custkey as principal, count(group_name) as region_groups

@@ -104,6 +104,18 @@ def map_customers(customer: DataFrame, nation: DataFrame, region: DataFrame) ->
     )
 
 
+def customers_view_sql(prefix: str) -> str:
+    """The statement for a view of customers over tables of the given files, all under names with the prefix."""
+    region = " ".join(f"WHEN '{code}' THEN '{name}'" for code, name in REGION_OF.items())
+    segment = " ".join(f"WHEN '{code}' THEN '{name}'" for code, name in SEGMENT_OF.items())
+    return (
+        f"CREATE OR REPLACE VIEW {prefix}customers AS SELECT"
+        " concat('C', lpad(cast(c_custkey AS string), greatest(7, length(cast(c_custkey AS string))), '0')) AS customer_id,"
+        f" c_name AS name, CASE c_mktsegment {segment} END AS segment, n_name AS state, CASE r_name {region} END AS region"
+        f" FROM {prefix}customer JOIN {prefix}nation ON c_nationkey = n_nationkey JOIN {prefix}region ON n_regionkey = r_regionkey"
+    )
+
+
 def map_accounts(orders: DataFrame) -> DataFrame:
     product = F.floor(F.col("o_orderkey") / 5).cast("bigint") % 12
     price = F.col("o_totalprice")

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 _made: list[str] = []
+_prefixes: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -35,7 +36,12 @@ def exists(spark: SparkSession, folder: str) -> bool:
 
 
 def clean(spark: SparkSession) -> None:
-    """Delete the folders this process has taken: for the end of a job, when nothing reads them any more."""
+    """Delete the folders and drop the tables of this process: for the end of a job, when nothing reads them any more."""
+    if _prefixes:
+        for table in spark.catalog.listTables():
+            if table.name.startswith(tuple(_prefixes)):
+                spark.sql(f"DROP {'VIEW' if table.tableType == 'VIEW' else 'TABLE'} IF EXISTS {table.name}")
+        _prefixes.clear()
     while _made:
         path = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
@@ -53,4 +59,5 @@ def store(df: DataFrame) -> DataFrame:
 
 def table_prefix() -> str:
     """A prefix that keeps the tables of one run apart from those of another."""
-    return f"run_{uuid.uuid4().hex[:12]}_"
+    _prefixes.append(f"run_{uuid.uuid4().hex[:12]}_")
+    return _prefixes[-1]

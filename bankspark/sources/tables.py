@@ -28,6 +28,7 @@ def write_table(
     path: str | None = None,
     fmt: str = "parquet",
     partition_by: Sequence[str] = (),
+    bucket_by: tuple[int, str] | None = None,
 ) -> None:
     """Replace a table together with its schema."""
     writer = df.write.mode("overwrite").format(fmt)
@@ -35,11 +36,21 @@ def write_table(
         writer = writer.option("overwriteSchema", True)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if bucket_by:
+        writer = writer.bucketBy(*bucket_by).sortBy(bucket_by[1])
     if path is not None:
         writer = writer.option("path", path)
     writer.saveAsTable(name)
 
 
+def attach(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -> DataFrame:
+    """Give existing files a table name; no row is read or copied."""
+    place = path.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"CREATE TABLE {name} USING {fmt} LOCATION '{place}'")
+    return spark.table(name)
+
+
 def create_or_replace(spark: SparkSession, name: str, query: DataFrame, path: str | None = None) -> DataFrame:
     """Store the result of a query as a table and return the stored table."""
     write_table(query, name, path)
