@@ -11,7 +11,8 @@ files are Spark's own, so a lost task writes its part again and any store works.
 A text is encoded piece by piece.  The tokenizer lower-cases, drops white space
 and parts letters, digits and signs, so a text has the ids of its pieces, cut
 there and lower-cased where both are plain, and a worker encodes a piece once.
-A text with the beginning of a special string is encoded whole.
+A text with the beginning of a special string is encoded whole.  A tokenizer that
+does not work so is refused.
 
 Defined results: a NULL text is an empty one, with only the end id; documents
 without an id come last; rows that repeat an id follow each other in the order
@@ -20,10 +21,11 @@ of their texts' hashes; an empty table gives no chunk and an empty result.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
-from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,18 +34,20 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from bankspark.llm.token_counts import vocabulary_json
+from bankspark.llm.token_counts import special_strings, vocabulary_json
 from bankspark.llm.words import LOWER, NOT_BLANK, kind_cuts, pieces, slices, utf8
 from bankspark.sources.scratch import shared_folder
 
 END_ID = 1
-SPECIAL_BEGINS = "<|"  # of the vocabulary's special strings
 BLOCK_IDS = 1 << 16
 CHUNK_IDS = 1 << 19  # a chunk ends with the document that reaches this many
 LEVEL = 1
-SLICE = 4 << 20
-CACHE_PIECES = 600_000
-CACHE_LENGTH = 64
+SLICE = 8 << 20
+CACHE_PIECES = 1_000_000
+CACHE_LENGTH = 64  # bytes; longer pieces are not kept
+TOGETHER = 512  # words encoded as one text
+ONE_WORD = "^[ \\t\\n]?[a-z\u00df-\u00f6\u00f8-\u00ff]+$"  # a run of lower-case letters, with a blank before it or not
+PROBE = " Ab cd12 (x)\n it's  ÀÉ ñandú 7% "
 CHUNK_SCHEMA = (
     "part int, chunk int, part_start long, n_ids long, doc_ids array<long>, doc_lengths array<long>, "
     "plane_ends array<long>, payload binary"
@@ -89,7 +93,11 @@ def unpack(payload: bytes, ends: list[int], n_ids: int, block: int = BLOCK_IDS,
 
 
 class Encoder:
-    """Ids of texts, by their pieces between ASCII blanks."""
+    """Ids of texts, by their pieces.
+
+    Exact for a tokenizer that drops white space, lower-cases, and parts letters, digits and signs; others are refused.
+    Where its tokens tell the end of a word, pieces that are one word each are encoded many in one text.
+    """
 
     def __init__(self, tokenizer_json: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -98,20 +106,82 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.known: dict[str, bytes] = {}
-
-    def of_pieces(self, texts: list[str]) -> list[bytes]:
-        """The ids of each piece, as unsigned 32-bit integers."""
-        known = self.known
-        found = [known.get(t) for t in texts]
-        rest = [t for t, ids in zip(texts, found) if ids is None]
-        if rest:
-            encoded = self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)
-            fresh = {t: array("I", e.ids).tobytes() for t, e in zip(rest, encoded)}
-            found = [fresh[t] if ids is None else ids for t, ids in zip(texts, found)]
-            if len(known) < CACHE_PIECES:
-                known.update((t, ids) for t, ids in fresh.items() if len(t) <= CACHE_LENGTH)
-        return found
+        self.special_begins = sorted({s[:2] for s in special_strings(tokenizer_json)})
+        described = json.loads(tokenizer_json)
+        suffix = described["model"].get("end_of_word_suffix")
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        if suffix:
+            self.ends_word[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+        self.plain = self.without_patterns(described)
+        # What is known of a piece: a number, and by number its ids in the pool.
+        self.known: dict[str, int] = {}
+        self.sizes = np.empty(0, dtype=np.int64)
+        self.pool = np.empty(0, dtype=np.uint32)
+        whole = self.tokenizer.encode(PROBE, add_special_tokens=False).ids
+        if self.encode(pa.array([PROBE]), 0)[0][:-1].tolist() != whole:
+            raise ValueError("the tokenizer does not encode a text piece by piece")
+
+    def without_patterns(self, described: dict):
+        """The same merges for lower-case words between blanks, without normalizer and patterns; or the tokenizer itself."""
+        from tokenizers import Tokenizer
+
+        parts = described.get("pre_tokenizer") or {}
+        bytewise = [p for p in parts.get("pretokenizers", [parts]) if p.get("type") == "ByteLevel"]
+        split = {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, *bytewise]}
+        plain = described | {"normalizer": None, "pre_tokenizer": split, "post_processor": None, "added_tokens": []}
+        try:
+            found = Tokenizer.from_str(json.dumps(plain))
+        except Exception:  # noqa: BLE001 - the library raises nothing finer
+            return self.tokenizer
+        words = "the añadé straße naïve ÿ zzyzx s t"
+        same = found.encode(words, add_special_tokens=False).ids == self.tokenizer.encode(words, add_special_tokens=False).ids
+        return found if same else self.tokenizer
+
+    def encoded(self, texts: list[str], tokenizer=None) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts, and how many each has."""
+        found = (tokenizer or self.tokenizer).encode_batch_fast(texts, add_special_tokens=False)
+        sizes = np.fromiter((len(e) for e in found), dtype=np.int64, count=len(found))
+        return np.fromiter(chain.from_iterable(e.ids for e in found), dtype=np.uint32, count=int(sizes.sum())), sizes
+
+    def encoded_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words of letters only, with many in one text."""
+        ids, each = self.encoded([" ".join(words[i : i + TOGETHER]) for i in range(0, len(words), TOGETHER)], self.plain)
+        ends = np.flatnonzero(self.ends_word[ids])
+        held = np.diff(np.searchsorted(ends, np.append(0, np.cumsum(each))))
+        if held.tolist() != [min(TOGETHER, len(words) - i) for i in range(0, len(words), TOGETHER)]:
+            return self.encoded(words)  # its tokens do not tell words apart
+        return ids, np.diff(ends, prepend=-1)
+
+    def of_pieces(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """A pool of ids, and where each piece's begin and how many they are."""
+        get = self.known.get
+        listed = texts.to_pylist()
+        number = np.array([get(t, -1) for t in listed], dtype=np.int64)
+        fresh = np.flatnonzero(number < 0)
+        pool, sizes = self.pool, self.sizes
+        if len(fresh):
+            unseen = texts.take(pa.array(fresh))
+            word = pc.match_substring_regex(unseen, ONE_WORD).to_numpy(zero_copy_only=False)
+            long = pc.binary_length(unseen).to_numpy() > CACHE_LENGTH
+            order = np.argsort(long, kind="stable")  # what is not kept comes last
+            fresh, word = fresh[order], word[order]
+            said = [listed[i] for i in fresh]
+            words, others = np.flatnonzero(word), np.flatnonzero(~word)
+            parts = [self.encoded_words([said[i] for i in words]), self.encoded([said[i] for i in others])]
+            place = np.argsort(np.append(words, others))
+            own_sizes = np.concatenate([n for _, n in parts])
+            begins = np.cumsum(own_sizes) - own_sizes
+            own = np.concatenate([ids for ids, _ in parts])[_ranges(begins[place], own_sizes[place])]
+            own_sizes = own_sizes[place]
+            number[fresh] = len(sizes) + np.arange(len(fresh))
+            kept = int((~long).sum())
+            pool, sizes = np.append(pool, own), np.append(sizes, own_sizes)
+            if len(self.known) + kept <= CACHE_PIECES:
+                self.known.update(zip(said[:kept], range(len(self.sizes), len(self.sizes) + kept)))
+                self.pool = pool[: len(pool) - int(own_sizes[kept:].sum())]
+                self.sizes = sizes[: len(self.sizes) + kept]
+        return pool, (np.cumsum(sizes) - sizes)[number], sizes[number]
 
     def encode(self, column: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the column, the end id after each text, and the number of each text's ids."""
@@ -120,27 +190,32 @@ class Encoder:
             return np.full(len(column), end_id, dtype=np.uint32), np.ones(len(column), dtype=np.int64)
         word = NOT_BLANK[data]
         cut = np.zeros(len(data) + 1, dtype=bool)
-        cut[1 : len(data)] = (word[1:] != word[:-1]) | kind_cuts(data)
-        special = pc.fill_null(pc.match_substring(column, SPECIAL_BEGINS), False).to_numpy(zero_copy_only=False)
-        for i in np.flatnonzero(special):  # special strings are found in the text as it stands
-            cut[offsets[i] : offsets[i + 1]] = False
+        # Blanks are dropped, so they may stay with the word after them.
+        cut[1 : len(data)] = (word[:-1] & ~word[1:]) | kind_cuts(data)
         lowered = LOWER[data]
-        for i in np.flatnonzero(special):
-            lowered[offsets[i] : offsets[i + 1]] = data[offsets[i] : offsets[i + 1]]
+        for begin in self.special_begins:  # special strings are found in the text as it stands
+            special = pc.fill_null(pc.match_substring(column, begin), False).to_numpy(zero_copy_only=False)
+            for i in np.flatnonzero(special):
+                cut[offsets[i] : offsets[i + 1]] = False
+                lowered[offsets[i] : offsets[i + 1]] = data[offsets[i] : offsets[i + 1]]
         cut[offsets] = True
         cuts = np.flatnonzero(cut)
         coded = pieces(lowered, cuts)
-        found = self.of_pieces(coded.dictionary.to_pylist())
-        lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) >> 2
-        pool = np.frombuffer(b"".join(found), dtype=np.uint32)
+        pool, begins, lengths = self.of_pieces(coded.dictionary)
         codes = coded.indices.to_numpy()
-        sizes, begins = lengths[codes], (np.cumsum(lengths) - lengths)[codes]
+        sizes = lengths[codes]
         upto = np.concatenate([[0], np.cumsum(sizes)])
-        ids = pool[np.repeat(begins - upto[:-1], sizes) + np.arange(upto[-1])]
+        ids = pool[_ranges(begins[codes], sizes)]
         text_ends = upto[np.searchsorted(cuts, offsets[1:])]
         return np.insert(ids, text_ends, end_id), np.diff(text_ends, prepend=0) + 1
 
 
+def _ranges(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """All numbers from each begin on, as many as its size."""
+    ends = np.cumsum(sizes)
+    return np.repeat(begins - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
 _encoders: dict[int, Encoder] = {}
 
 
