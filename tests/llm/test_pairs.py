@@ -159,10 +159,13 @@ def brute_lines(rows, run=3):
     seen, deleted = set(), defaultdict(set)
     for key in order:
         lines = [(i, x) for i, x in enumerate(key[2].split("\n")) if blank_words(x)]
-        for k in range(len(lines) - run + 1):
-            window = tuple(x for _, x in lines[k : k + run])
+        spans = [(k, size) for size in (1, 2, run) for k in range(len(lines) - size + 1)]
+        for k, size in spans:
+            window = tuple(x for _, x in lines[k : k + size])
+            if size < run and len(lines) != size and sum(len(blank_words(x)) for x in window) < 20:
+                continue
             if window in seen:
-                deleted[key].update(i for i, _ in lines[k : k + run])
+                deleted[key].update(i for i, _ in lines[k : k + size])
             seen.add(window)
     out = []
     for d, t in rows:
@@ -174,6 +177,11 @@ def brute_lines(rows, run=3):
 
 def test_line_dedup_is_exact(spark, prose):
     rows = [r for r in prose if r[0] is not None] + [(900, "a\nb\n\nc\na\nb\nc\nd"), (901, "x\n a\nb\nc\n\nd"), (902, "q\n" * 9)]
+    words = " ".join(f"w{i}" for i in range(20))
+    half = " ".join(f"h{i}" for i in range(10))
+    rows += [(910, "lone"), (911, "\nlone\n "), (912, "lone\nmore"), (913, "lone\nmore"), (914, "more\nlone")]  # whole copies of one and two lines
+    rows += [(920, f"p\n{words}\nq"), (921, f"r\n{words}\ns"), (922, words[:-4]), (923, f"r1\n{words[:-4]}")]  # a long line between others
+    rows += [(930, f"{half}\n\n{half} x\nt"), (931, f"u\n{half}\n{half} x"), (932, f"{half}\nv")]  # two lines that are long together
     got = line_dedup.op1_line_dedup(clashing(frame(spark, rows)))
     assert sorted(map(tuple, got.collect()), key=repr) == brute_lines(rows)
     assert sum(r.n_deleted for r in got.collect()) > 20
