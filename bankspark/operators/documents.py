@@ -23,6 +23,7 @@ SECTIONS = (
     "Product Overview", "Key Product Features", "Eligibility", "Fees and Charges", "Key Risks", "Protection",
     "Important Notice",
 )
+HEADING_SHARE = 0.05  # of all sheets, that have a heading
 # Every line gets a line feed in front; then blank lines go, and a heading gets
 # a second line feed, which nothing else in the text has.
 _BLANK_LINE = r"\n[ \t\r]*(?=\n|\z)"
@@ -89,6 +90,38 @@ def docs_facts(sheets: DataFrame, sections: Sequence[str] = SECTIONS) -> DataFra
     )
 
 
+def docs_headings(sheets: DataFrame, share: float = HEADING_SHARE) -> DataFrame:
+    """(heading, sheets): lines that many sheets have and that introduce facts, told from the corpus itself.
+
+    A heading has no separator, stands in at least ``share`` of all sheets (and in two), and in most of them the next
+    line that is not blank is a fact.  One aggregate; a sheet counts a line once.
+    """
+    trimmed = F.transform(F.split("text", "\n"), lambda x: F.regexp_replace(x, r"[ \t\r]+\z", ""))
+    lines = F.filter(trimmed, lambda x: x != "")
+    marked = F.transform("lines", lambda x, i: F.struct(
+        x.alias("heading"), F.coalesce(F.contains(F.get("lines", i + 1), F.lit(SEPARATOR)), F.lit(False)).alias("leads")
+    ))
+    seen = sheets.filter("text IS NOT NULL").select(lines.alias("lines")).select(
+        F.explode(F.array_distinct(F.filter(marked, lambda m: ~F.contains(m.heading, F.lit(SEPARATOR))))).alias("m"),
+    )
+    n = sheets.filter("text IS NOT NULL").count()
+    return (
+        seen.groupBy("m.heading")
+        .agg(F.count_if("m.leads").alias("sheets"), F.count(F.lit(1)).alias("lines"))
+        .filter((F.col("sheets") >= max(2, share * n)) & (2 * F.col("sheets") > F.col("lines")))
+        .select("heading", "sheets")
+    )
+
+
+def docs_facts_found(sheets: DataFrame, share: float = HEADING_SHARE) -> DataFrame:
+    """Facts under the headings that the corpus itself shows.
+
+    A heading stands in ``share`` of the sheets, so there are at most the lines of a mean sheet divided by it.
+    """
+    headings = [row["heading"] for row in docs_headings(sheets, share).collect()]
+    return docs_facts(sheets, sorted(headings, key=len, reverse=True) or ["\n"])
+
+
 def docs_rate_parse(facts: DataFrame) -> DataFrame:
     return facts.withColumn("rate_pct", rate_pct("value"))
 

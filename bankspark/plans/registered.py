@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bankspark import schemas as S
+from bankspark.operators import check_states as K
 from bankspark.operators import documents as D
 from bankspark.operators import features as E
+from bankspark.operators import fusion as N
 from bankspark.operators import governance as G
 from bankspark.operators import medallion as M
 from bankspark.operators import metrics as Q
@@ -129,9 +131,11 @@ class Bank(GivenTables):
         return files.read_csv(self.spark, self.as_csv("accounts")["accounts"])
 
     def customer_upload(self) -> DataFrame:
-        uploaded = files.read_csv(self.spark, self.as_csv("customers")["customers"], S.CUSTOMERS)
-        stored = tables.scan(self.spark, self.store("customers", uploaded))
-        return files.preview(stored, 5, "customer_id")
+        """The customers of a CSV file; a line with a bad cell is kept in a table of rejects."""
+        uploaded = files.read_csv_with_rejects(self.spark, self.as_csv("customers")["customers"], S.CUSTOMERS)
+        stored = table_prefix() + "customers"
+        tables.write_counted(uploaded, stored, f"{shared_folder(self.spark)}/{stored}", f"{stored}_rejected")
+        return files.preview(tables.scan(self.spark, stored), 5, "customer_id")
 
     def table_overwrite(self) -> DataFrame:
         name = table_prefix() + "customers"
@@ -243,6 +247,17 @@ class Bank(GivenTables):
         """All checks, those of customer grain included; nothing is copied."""
         return C.dq_report(self.tables, AS_OF, FORMATS, self.customer_grain, self.expected_rows())
 
+    def states_report(self) -> DataFrame:
+        """Rules and keys of the customers and transactions, from the stored states of parts by ranges of their ids."""
+        rules = C.merge_rules(C.missing_rules(), C.id_format_rules(FORMATS), C.domain_rules(), C.segment_age_rules(),
+                              C.amount_range_rules(), C.txn_date_rules(AS_OF))
+        part = {"customers": F.substring("customer_id", 1, 5), "transactions": F.substring("txn_id", 1, 6)}
+        keys = {t: C.PRIMARY_KEYS[t] for t in part}
+        states = store(union_all([
+            K.part_states(self.tables[t], t, part[t], rules[t], keys[t]) for t in part
+        ]))
+        return K.report(states, keys, lambda t, names: self.tables[t].filter(part[t].isin(list(names))).select(keys[t]))
+
     @property
     def customer_grain(self) -> dict[str, DataFrame]:
         return {
@@ -362,12 +377,15 @@ JOBS: dict[str, Callable[[Bank], DataFrame]] = {
     "dq_dates": lambda b: C.dq_dates(b.customers, b.accounts, b.transactions, AS_OF),
     "dq_row_counts": lambda b: b.row_counts(),
     "dq_one_row_per_customer": lambda b: C.dq_one_row_per_customer(b.customer_grain),
+    "dq_states_report": lambda b: b.states_report(),
     "dq_missing": lambda b: C.dq_missing(b.tables),
     "dq_report": lambda b: b.report(),
     # Documents
     "docs_chunk_words": lambda b: D.docs_chunk_words(b.documents),
     "docs_chunk_wrap": lambda b: D.docs_chunk_wrap(b.documents),
     "docs_facts": lambda b: b.facts,
+    "docs_headings": lambda b: D.docs_headings(b.sheets),
+    "docs_facts_found": lambda b: D.docs_facts_found(b.sheets),
     "docs_rate_parse": lambda b: D.docs_rate_parse(b.facts),
     "docs_amount_parse": lambda b: D.docs_amount_parse(b.facts),
     "docs_label_lookup": lambda b: D.docs_label_lookup(b.facts, section="Eligibility"),
@@ -378,6 +396,7 @@ JOBS: dict[str, Callable[[Bank], DataFrame]] = {
     "docs_document_frequency": lambda b: D.docs_document_frequency(b.documents),
     "docs_bm25_topk": lambda b: R.docs_bm25_topk(b.documents, b.questions),
     "docs_cosine_topk": lambda b: R.docs_cosine_topk(b.vectors, R.topic_vectors(b.vectors)),
+    "docs_cited_chunks": lambda b: N.docs_cited_chunks(b.documents, b.questions),
     "route_questions": lambda b: W.route_questions(b.user_turns, b.specialists),
     "route_multi": lambda b: W.route_multi(b.user_turns, b.specialists),
     # Offer model

@@ -500,6 +500,14 @@ from (select doc_id, unnest(ls) as line, generate_subscripts(ls, 1) as pos from
       then list_concat(done[1:len(done) - 1], [done[-1] || ' ' || x[1]]) else list_concat(done, x) end) end as ls
   from (select doc_id, {_WORDS} as w from documents)))""",
     "docs_facts": "select * from facts",
+    "docs_headings": r"""
+select heading, count(*) filter (leads) as sheets from (
+  select distinct doc_id, heading, coalesce(contains(following, ':  '), false) as leads from (
+    select doc_id, heading, lead(heading) over (partition by doc_id order by pos) as following from (
+      select doc_id, pos, rtrim(line, ' ' || chr(9) || chr(13)) as heading from sheet_lines) where heading <> ''))
+where not contains(heading, ':  ') group by heading
+having count(*) filter (leads) >= greatest(2, 0.05 * (select count(*) from sheets)) and 2 * count(*) filter (leads) > count(*)""",
+    "docs_facts_found": "select * from facts",
     "docs_rate_parse": r"""
 select *, try_cast(nullif(regexp_extract(value, '([0-9]+(\.[0-9]+)?)\s*% per annum', 1), '') as double) as rate_pct
 from facts""",
@@ -530,6 +538,43 @@ where rank <= 5""",
 select question_id, rank, doc_id, score from (
   select *, row_number() over (partition by question_id order by score desc, doc_id) as rank from near)
 where rank <= 5""",
+    "docs_cited_chunks": f"""
+select * from (with pieces as (
+  select doc_id, cast(c as bigint) as chunk_no, doc_id || '#' || c as key,
+    array_to_string(list_slice(w, c * 200 + 1, c * 200 + 200), ' ') as text
+  from (select doc_id, w, unnest(range(cast(ceil(len(w) / 200.0) as int))) as c
+        from (select doc_id, {_WORDS} as w from documents))),
+said as (select key, unnest({_TOKENS}) as term from pieces),
+counts as (select key, term, count(*) as tf from said group by all),
+sizes as (select p.key, count(term) as size from pieces p left join said using (key) group by all),
+dfs as (select term, count(*) as df from counts group by all),
+scored as (
+  select question_id, key, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2
+      / (tf + 1.2 * (0.25 + 0.75 * size / mean_size))), 4) as score
+  from asked join counts using (term) join dfs using (term) join sizes using (key),
+    (select count(*) as n, sum(size) / count(*) as mean_size from sizes) group by question_id, key),
+classes as (
+  select id, cast(dim as int) as dim, count(*)::double as n from (
+    select id, (ascii(term) * 31 + ascii(right(term, 1)) * 7 + length(term)) % 64 as dim from (
+      select 'c' || key as id, term from said
+      union all select 'q' || item_id, unnest({_TOKENS}) from benchmark)) group by all),
+vectors as (
+  select id, list_transform(range(64), lambda d: coalesce(map_extract(m, cast(d as int))[1], 0.0)) as v
+  from (select id, map_from_entries(list((dim, n))) as m from classes group by id)),
+close as (
+  select cast(substr(q.id, 2) as bigint) as question_id, substr(c.id, 2) as key, round(list_cosine_similarity(q.v, c.v), 6) as score
+  from vectors q, vectors c where q.id like 'q%' and c.id like 'c%'),
+both_ranks as (
+  select question_id, key, row_number() over (partition by question_id order by score desc, key) as place from scored where score > 0
+  union all select question_id, key, row_number() over (partition by question_id order by score desc, key) from close),
+fused as (
+  select question_id, key, round(sum(1 / (60 + place)), 8) as score from both_ranks where place <= 20 group by all),
+cited as (
+  select question_id, doc_id, chunk_no, score from fused join pieces using (key)
+  qualify row_number() over (partition by question_id, doc_id, chunk_no // 3 order by score desc, doc_id, chunk_no) = 1)
+select * from (
+  select question_id, row_number() over (partition by question_id order by score desc, doc_id, chunk_no) as rank, doc_id, chunk_no, score
+  from cited) where rank <= 5)""",
     "route_questions": """
 select conv_id, turn, coalesce(specialist, 'none') as specialist, coalesce(score, 0) as score
 from (select conv_id, turn from conversations where role = 'user') left join (
@@ -547,6 +592,10 @@ from features""",
 }
 
 QUERIES |= {name: " union all ".join(parts) for name, parts in CHECKS.items()}
+QUERIES["dq_states_report"] = "select check_name, table_name, violations from (" + " union all ".join(
+    part for name, parts in CHECKS.items() for part in parts
+    if name in ("dq_pk_unique", "dq_id_format", "dq_missing", "dq_domain", "dq_segment_age", "dq_amount_range", "dq_dates")
+) + ") where table_name in ('customers', 'transactions') and check_name <> 'opened_before_joining'"
 QUERIES["dq_report"] = " union all ".join([
     *(part for parts in CHECKS.values() for part in parts),
     "select 'row_count', table_name, cast(case when within_tolerance then 0 else 1 end as bigint) from ("

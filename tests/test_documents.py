@@ -12,7 +12,7 @@ from pyspark.sql import Observation
 
 from bankspark import schemas as S
 from bankspark.operators import documents as D
-from bankspark.operators import retrieval, routing, search
+from bankspark.operators import fusion, retrieval, routing, search
 from bankspark.sources.scratch import store
 
 QUIET = settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -298,3 +298,33 @@ def test_equal_scores_go_to_the_first_name(spark):
     terms = spark.createDataFrame([("b", "tea"), ("a", "tea")], "specialist string, term string")
     questions = spark.createDataFrame([(1, "tea")], "id int, text string")
     assert routing.route_questions(questions, terms).first()["specialist"] == "a"
+
+
+def test_headings_are_told_from_the_corpus(spark):
+    body = "Sheet {i}\nTakaful Cover  \n\nPlan:  basic\nNote to all\nFees\r\nCharge:  RM{i}\nNote to all"
+    texts = [body.format(i=i) for i in range(20)] + ["Fees\nno fact here", None, "", "Rare One\nX:  1"]
+    docs = _docs(spark, *texts)
+    assert {tuple(r) for r in D.docs_headings(docs).collect()} == {("Takaful Cover", 20), ("Fees", 20)}
+    facts = D.docs_facts_found(docs).filter("doc_id = 3").select("section", "label", "value").collect()
+    assert [tuple(r) for r in facts] == [
+        (None, None, "Sheet 3"), ("Takaful Cover", "Plan", "basic"), ("Takaful Cover", None, "Note to all"),
+        ("Fees", "Charge", "RM3"), ("Fees", None, "Note to all"),
+    ]
+    assert D.docs_facts_found(_docs(spark, "plain", None)).collect()[0]["section"] is None
+
+
+def test_fused_ranks(spark):
+    ranking = lambda *rows: spark.createDataFrame(list(rows), "question_id bigint, rank bigint, doc_id string")
+    fused = fusion.fuse([ranking((1, 1, "a"), (1, 2, "b")), ranking((1, 1, "b"), (2, 3, "a"))])
+    assert {(r["question_id"], r["doc_id"]): r["score"] for r in fused.collect()} == {
+        (1, "a"): round(1 / 61, 8), (1, "b"): round(1 / 62 + 1 / 61, 8), (2, "a"): round(1 / 63, 8)}
+
+
+def test_one_chunk_of_a_neighbourhood_is_cited(spark):
+    filler = [" ".join(f"w{i}x{j}" for j in range(199)) for i in range(6)]
+    long = " ".join(f"{f} amber" for f in filler)  # six chunks, each with the word
+    docs = _docs(spark, long, "amber", "cobalt", "", None)
+    asked = spark.createDataFrame([(1, "amber")], "question_id bigint, text string")
+    cited = [(r["doc_id"], r["chunk_no"]) for r in fusion.docs_cited_chunks(docs, asked).orderBy("rank").collect()]
+    assert cited[0] == (1, 0)
+    assert len({(d, c // 3) for d, c in cited}) == len(cited) and {d for d, _ in cited} == {0, 1, 2}

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from bankspark import schemas as S
+from bankspark.operators import check_states as K
 from bankspark.operators import features as E
 from bankspark.operators import governance as G
 from bankspark.operators import medallion as M
@@ -204,3 +205,50 @@ def test_clean_drops_tables(spark, small_dir, bank):
     assert spark.catalog.tableExists(name)
     scratch.clean(spark)
     assert not spark.catalog.tableExists(name)
+
+
+# States of checks
+
+
+def _parts(spark, rows):
+    return spark.createDataFrame(rows, "part string, id string, age int")
+
+
+RULES = {"too_old": "age > 90", "missing_age": "age IS NULL"}
+
+
+def _states(df):
+    return K.part_states(df, "people", F.col("part"), {name: F.expr(rule) for name, rule in RULES.items()}, "id")
+
+
+def _full(df):
+    repeated = df.groupBy("id").count().filter("count > 1").count()
+    broken = df.agg(*(F.count_if(F.expr(rule)).alias(name) for name, rule in RULES.items())).first()
+    return sorted([("pk_unique", "people", repeated), *((name, "people", broken[name]) for name in RULES)])
+
+
+@pytest.mark.parametrize("added, asked", [
+    ([("d", "40", 5), ("d", "41", 99), ("d", "41", None)], []),  # a range of its own, with a repeat within
+    ([("d", "25", 5), ("d", "40", 99)], ["c", "d"]),  # meets the range of c: a key of c again
+    ([("d", "05", 95), ("d", "30", 1)], ["b", "c", "d"]),
+    ([("d", None, 95), ("d", None, 1)], []),
+])
+def test_a_report_reads_only_what_it_must(spark, added, asked):
+    old = _parts(spark, [("a", "01", 5), ("a", "02", 95), ("b", "11", None), ("b", "12", 3), ("c", "25", 4), ("c", "29", 4), ("c", "29", 1)])
+    new = _parts(spark, added)
+    stored = scratch.store(_states(old))  # the old parts are not read for these again
+    whole, seen = old.unionByName(new), []
+
+    def read(table, names):
+        seen.extend(names)
+        return whole.filter(F.col("part").isin(list(names))).select("id")
+
+    states = scratch.store(stored.unionByName(_states(new)))
+    assert sorted(map(tuple, K.report(states, {"people": "id"}, read).collect())) == _full(whole)
+    assert sorted(seen) == asked
+    assert K.row_counts(states).first()["row_count"] == whole.count()
+
+
+def test_states_of_nothing(spark):
+    states = scratch.store(_states(_parts(spark, [])))
+    assert K.report(states, {"people": "id"}, None).count() == 0
