@@ -147,7 +147,7 @@ def test_every_customer_has_exactly_one_offer_and_spend_adds_up(spark, small_dir
 
 # Plan shapes
 
-SCORERS = {"docs_bm25_topk", "docs_cosine_topk"}
+SCORERS = {"docs_bm25_topk", "docs_cosine_topk", "docs_cited_chunks"}
 WRITERS = {
     "src_csv_infer", "src_customer_upload", "src_table_scan", "sink_table_overwrite", "sink_ctas_replace",
     "bronze_ingest_counts", "meta_comment", "meta_set_tag", "dq_report", "dq_one_row_per_customer",

@@ -8,7 +8,6 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from bankspark import schemas as S
 from bankspark.operators import check_states as K
 from bankspark.operators import features as E
@@ -118,11 +117,6 @@ def test_numbers_are_dense_in_parts(spark, monkeypatch):
 # Features
 
 
-def test_transaction_features_are_one_plain_hash_aggregate(spark, small_dir):
-    plan = plan_of(entry.queries()["feat_txn"](spark, small_dir))
-    assert "ObjectHashAggregate" not in plan and "SortAggregate" not in plan and "HashAggregate" in plan
-
-
 def test_categories_off_the_list_count_exactly(spark):
     odd = [("a", 1.0, "ATM", f"odd {i % 7}") for i in range(50)] + [("a", 2.0, "Mobile App", "Dining")] * 3
     odd += [("b", None, None, None), ("b", 5.0, "QR Pay", "Fuel"), (None, 1.0, "ATM", "odd 1")]
