@@ -18,13 +18,14 @@ any label nothing is blocked but by rule; an empty table gives an empty result.
 from __future__ import annotations
 
 import string
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bankspark.sources.scratch import store
 
-#: Suffixes of several labels under which names are registered; a parameter, not a full list.
+#: Suffixes of several labels under which names are registered; a parameter (see ``suffix_rules``), not a full list.
 LONG_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "gov.uk", "com.au", "net.au", "co.jp", "co.nz", "com.br", "com.cn", "com.my")
 Z = 1.645  # standard deviations between the posterior mean and its bound
 LIMIT = 0.5  # share of bad pages above which a host is blocked
@@ -53,17 +54,39 @@ def fitting_rule(host: Column, path: Column, rules: list[tuple[str, str, str]])
     return text, verdict
 
 
-def domain_of(host: Column, long_suffixes: tuple[str, ...] = LONG_SUFFIXES) -> tuple[Column, Column]:
-    """The registered domain and the suffix of a host (user and port are left off)."""
+def suffix_rules(lines: Iterable[str]) -> tuple[str, ...]:
+    """The rules of a public suffix list: one to a line, up to the first blank; comments begin with //."""
+    words = (line.split(maxsplit=1) for line in lines)
+    return tuple(w[0].lower().strip(".") for w in words if w and not w[0].startswith("//"))
+
+
+def domain_of(host: Column, rules: Iterable[str] = LONG_SUFFIXES) -> tuple[Column, Column]:
+    """The registered domain and the suffix of a host (user and port are left off).
+
+    Rules are names (``co.uk``), wildcards (``*.ck``: any label before ck) and exceptions to those (``!www.ck``: ck is
+    its suffix).  An exception decides, else the rule of most labels, else the last label is the suffix.
+    """
     labels = F.split(F.regexp_replace(F.regexp_replace(host, r"^[^@]*@", ""), r":[0-9]*$", ""), r"\.")
-    length = F.when(F.concat_ws(".", F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), 2)).isin(*long_suffixes), 2).otherwise(1)
     tail = lambda n: F.concat_ws(".", F.slice(labels, F.greatest(F.size(labels) - n + 1, F.lit(1)), n))
+    names: dict[str, dict[int, set[str]]] = {"!": {}, "*": {}, "": {}}
+    for rule in set(rules):
+        kind = "!" if rule.startswith("!") else "*" if rule.startswith("*.") else ""
+        name = rule.removeprefix("!").removeprefix("*.")
+        names[kind].setdefault(name.count(".") + 1, set()).add(name)
+    # In the order in which they decide: (labels that must be there, labels compared, names, labels of the suffix).
+    tests = [(n, n, found, n - 1) for n, found in sorted(names["!"].items(), reverse=True)]
+    sizes = {n for n in names[""] if n > 1} | {n + 1 for n in names["*"]}
+    for n in sorted(sizes, reverse=True):
+        tests += [(n, n, names[""].get(n, set()), n), (n, n - 1, names["*"].get(n - 1, set()), n)]
+    length = F.coalesce(
+        *(F.when((F.size(labels) >= there) & tail(n).isin(*sorted(found)), size) for there, n, found, size in tests if found), F.lit(1)
+    )
     return tail(length + 1), tail(length)
 
 
 def _strength(groups: DataFrame) -> Column:
     """The prior's weight in pages, by moments, from groups with n, bad and their parent's totals."""
-    p = F.col("parent_bad") / F.col("parent_n")
+    p = F.try_divide("parent_bad", "parent_n")
     spread = F.sum(F.col("n") * F.pow(F.col("bad") / F.col("n") - p, 2))
     by_parent = groups.filter("n > 0").groupBy("parent").agg(
         spread.alias("spread"), F.count("*").alias("groups"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("squares"),
@@ -79,12 +102,15 @@ def _strength(groups: DataFrame) -> Column:
 
 def _level(groups: DataFrame, above: DataFrame) -> DataFrame:
     """Posterior counts of each group (name, parent, n, bad), shrunk to the mean of its parent."""
-    placed = groups.join(
+    return _shrunk(groups.join(
         above.select(
             F.col("name").alias("parent"), F.col("n").alias("parent_n"), F.col("bad").alias("parent_bad"),
             (F.col("a") / (F.col("a") + F.col("b"))).alias("mean"),
         ), "parent",
-    )
+    ))
+
+
+def _shrunk(placed: DataFrame) -> DataFrame:
     strength = F.lit(_strength(placed).first()[0])  # one number
     return placed.select(
         "name", "parent", "n", "bad",
@@ -93,18 +119,17 @@ def _level(groups: DataFrame, above: DataFrame) -> DataFrame:
     )
 
 
-def reputations(outcomes: DataFrame, long_suffixes: tuple[str, ...] = LONG_SUFFIXES) -> DataFrame:
+def reputations(outcomes: DataFrame, long_suffixes: Iterable[str] = LONG_SUFFIXES) -> DataFrame:
     """Per host the posterior beta counts ``a`` (bad) and ``b``, from outcomes (host, n, bad), one row per host."""
     domain, suffix = domain_of(F.col("host"), long_suffixes)
     hosts = outcomes.select(F.col("host").alias("name"), domain.alias("parent"), suffix.alias("suffix"), "n", "bad")
     sums = (F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     domains = hosts.groupBy(F.col("parent").alias("name"), F.col("suffix").alias("parent")).agg(*sums)
-    suffixes = domains.groupBy(F.col("parent").alias("name")).agg(*sums).withColumn("parent", F.lit(""))
-    # All pages: a flat prior of one good and one bad page.
-    everything = suffixes.agg(*sums).select(
-        F.lit("").alias("name"), F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("bad", F.lit(0)).alias("bad")
-    ).withColumn("a", F.col("bad") + F.lit(1.0)).withColumn("b", F.col("n") - F.col("bad") + F.lit(1.0))
-    suffix_level = store(_level(suffixes, everything))
+    suffixes = store(domains.groupBy(F.col("parent").alias("name")).agg(*sums).withColumn("parent", F.lit("")))
+    # All pages, two numbers: a flat prior of one good and one bad page.
+    n, bad = suffixes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("bad"), F.lit(0))).first()
+    whole = {"parent_n": F.lit(n), "parent_bad": F.lit(bad), "mean": F.lit((bad + 1.0) / (n + 2.0))}
+    suffix_level = store(_shrunk(suffixes.withColumns(whole)))
     domain_level = store(_level(domains, suffix_level))
     return _level(hosts.drop("suffix"), domain_level).select(F.col("name").alias("host"), "n", "bad", "a", "b")
 
@@ -116,7 +141,7 @@ def lower_bound(a: Column, b: Column, z: float = Z) -> Column:
 
 def judge(
     pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str, str]], limit: float = LIMIT, z: float = Z,
-    long_suffixes: tuple[str, ...] = LONG_SUFFIXES,
+    long_suffixes: Iterable[str] = LONG_SUFFIXES,
 ) -> DataFrame:
     """Every page (page_id, url) with host, path, rule, verdict and its host's evidence.
 

@@ -213,6 +213,58 @@ def test_domains_and_suffixes(spark):
     assert [tuple(r) for r in df.select("host", domain, suffix).collect()] == hosts
 
 
+SUFFIX_LIST = """
+// names below which anyone registers
+com
+co.uk   two labels
+*.ck
+!www.ck
+kobe.jp
+*.Kobe.jp
+!city.kobe.jp
+"""
+
+
+def brute_domain(host, rules):
+    """The public suffix algorithm, rule by rule."""
+    labels = host.split(".")
+    best, length = 0, 1
+    for rule in rules:
+        parts = rule.removeprefix("!").split(".")
+        if len(parts) <= len(labels) and all(p in ("*", x) for p, x in zip(reversed(parts), reversed(labels))):
+            if rule.startswith("!"):
+                best, length = 99, len(parts) - 1
+            elif len(parts) > best:
+                best, length = len(parts), len(parts)
+    return ".".join(labels[-length - 1 :]), ".".join(labels[-length:])
+
+
+def test_suffix_rules_with_wildcards_and_exceptions(spark):
+    rules = url_filter.suffix_rules(SUFFIX_LIST.splitlines())
+    assert rules == ("com", "co.uk", "*.ck", "!www.ck", "kobe.jp", "*.kobe.jp", "!city.kobe.jp")
+    tails = ["com", "a.com", "co.uk", "uk", "ck", "x.ck", "www.ck", "jp", "kobe.jp", "c.kobe.jp", "city.kobe.jp", "nowhere"]
+    hosts = [f"{front}{t}" for t in tails for front in ("", "a.", "b.a.", "d.b.a.")]
+    df = spark.createDataFrame([(h,) for h in hosts], "host string")
+    domain, suffix = url_filter.domain_of(df["host"], rules)
+    for r in df.select("host", domain.alias("domain"), suffix.alias("suffix")).collect():
+        assert (r.domain, r.suffix) == brute_domain(r.host, rules), r
+    assert [tuple(r) for r in df.limit(1).select(*url_filter.domain_of(df["host"], ())).collect()] == [("com", "com")]
+
+
+def test_reputation_shrinks_within_the_suffix_it_is_given(spark):
+    """Hosts without a label of their own under a bad registered domain go; with one more suffix rule they are strangers."""
+    pages = [(i, f"http://h{i % 8}.bad.zone.org/{i}") for i in range(80)] + [(200 + i, f"http://g{i % 8}.fine{i % 8}.org/{i}") for i in range(80)]
+    pages += [(500, "http://new.bad.zone.org/"), (501, "http://new.fine1.org/")]
+    labels = spark.createDataFrame([(p, int(p >= 200), 0) for p, _ in pages if p < 500], "doc_id long, quality int, toxic int")
+    docs = spark.createDataFrame(pages, "page_id long, url string")
+    said = {r.page_id: r.verdict for r in url_filter.judge(docs, labels, []).collect()}
+    assert said[0] == "block" and said[500] == "block" and said[200] == said[501] == "allow"
+    plan = url_filter.judge(docs, labels, [])._jdf.queryExecution().toString()
+    assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan and "Python" not in plan
+    other = {r.page_id: r.verdict for r in url_filter.judge(docs, labels, [], long_suffixes=["*.zone.org"]).collect()}
+    assert other[0] == "block" and other[501] == "allow"
+
+
 def test_sharding_balances_bytes_by_editing_the_map(spark, prose):
     rows = prose + [(3000 + i, "x" * (i % 97)) for i in range(3000)]
     docs = clashing(frame(spark, rows))
