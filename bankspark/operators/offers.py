@@ -55,7 +55,8 @@ class Trained:
         return self.models[self.scores[0][0]]
 
 
-def _ready(features: DataFrame) -> DataFrame:
+def ready(features: DataFrame) -> DataFrame:
+    """Inputs without NULL: a customer without transactions scores 0."""
     return features.na.fill(0.0, ["digital_engagement_score", "tenure_months"])
 
 
@@ -77,6 +78,14 @@ def holdout_scores(predicted: DataFrame) -> tuple[float, float]:
     return (f1 / total, right / total) if total else (0.0, 0.0)
 
 
+def fingerprint(features: DataFrame) -> str:
+    """Tells feature tables of unlike content apart, whatever their layout; a model is kept under that of its table."""
+    key = F.xxhash64(*(F.col(c) for c in sorted(features.columns)))
+    wide = key.cast("decimal(38,0)")
+    row = features.agg(F.count(F.lit(1)).alias("n"), F.sum(wide).alias("total"), F.bit_xor(key).alias("bits")).first()
+    return f"{row['n']}:{row['total']}:{row['bits']}"
+
+
 def save(spark: SparkSession, trained: Trained, folder: str) -> None:
     """The leaderboard and the best model below a folder that all executors share."""
     board = spark.createDataFrame(trained.scores, "model string, f1 double, accuracy double")
@@ -90,7 +99,7 @@ def load(spark: SparkSession, folder: str) -> tuple[DataFrame, PipelineModel]:
 
 def score(features: DataFrame, model: PipelineModel) -> DataFrame:
     """The model's offer for every customer."""
-    return model.transform(_ready(features)).select("customer_id", "segment", "predicted_offer")
+    return model.transform(ready(features)).select("customer_id", "segment", "predicted_offer")
 
 
 def actions(scored: DataFrame) -> DataFrame:
@@ -106,7 +115,7 @@ def train(features: DataFrame) -> Trained:
     """
     assembler = VectorAssembler(inputCols=INPUTS, outputCol="inputs")
     data = (
-        assembler.transform(ml_split(_ready(features)))
+        assembler.transform(ml_split(ready(features)))
         .select("split", "inputs", LABEL)
         .persist(StorageLevel.MEMORY_AND_DISK)
     )

@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bankspark import schemas as S
+from bankspark.operators import bayes as B
 from bankspark.operators import check_states as K
 from bankspark.operators import documents as D
 from bankspark.operators import features as E
 from bankspark.operators import fusion as N
 from bankspark.operators import governance as G
+from bankspark.operators import halving as H
 from bankspark.operators import medallion as M
 from bankspark.operators import metrics as Q
 from bankspark.operators import offers as O
@@ -271,8 +273,8 @@ _saved: dict[tuple[str, str], str] = {}
 
 
 def offer_model(bank: Bank) -> tuple[DataFrame, PipelineModel]:
-    """The leaderboard and the best model, trained once per session and folder of tables, then loaded."""
-    key = (bank.spark.sparkContext.applicationId, bank.sf_dir)
+    """The leaderboard and the best model, trained once per session and content of the feature table, then loaded."""
+    key = (bank.spark.sparkContext.applicationId, O.fingerprint(bank.features))
     if key not in _saved or not exists(bank.spark, _saved[key]):
         _saved[key] = shared_folder(bank.spark)
         O.save(bank.spark, O.train(bank.features), _saved[key])
@@ -402,6 +404,9 @@ JOBS: dict[str, Callable[[Bank], DataFrame]] = {
     # Offer model
     "ml_split": lambda b: O.ml_split(b.features),
     "ml_leaderboard": lambda b: offer_model(b)[0],
+    "ml_folds": lambda b: H.ml_folds(b.features),
+    "ml_search": lambda b: H.ml_search(b.features),
+    "ml_naive_bayes": lambda b: B.ml_naive_bayes(b.features),
     "ml_batch_score": lambda b: O.score(b.features, offer_model(b)[1]),
     "ml_offer_actions": lambda b: O.actions(O.score(b.features, offer_model(b)[1])),
 }

@@ -591,6 +591,35 @@ select *, case when cast('0x' || substr(md5(customer_id), 1, 8) as bigint) % 10
 from features""",
 }
 
+_SPLIT = "case when cast('0x' || substr(md5(customer_id), 1, 8) as bigint) % 10 < 8 then 'train' else 'test' end as split"
+# What the offer models look at.
+MODEL_INPUTS = [
+    "age", "income_rank", "tenure_months", "num_products_held", "total_balance", *HOLDINGS,
+    "txn_count_90d", "avg_txn_amount", "total_spend", "category_variety", "digital_engagement_score",
+]
+_LIKELIHOOD = " + ".join(
+    f"(-0.5 * ln(v_{c} + 0.001 * w_{c} + 1e-9) - (x_{c} - m_{c}) * (x_{c} - m_{c}) / (2 * (v_{c} + 0.001 * w_{c} + 1e-9)))"
+    for c in MODEL_INPUTS
+)
+QUERIES["ml_folds"] = f"""
+select customer_id, next_best_offer, place, cast(place % 3 as int) as fold from (
+  select customer_id, next_best_offer,
+    row_number() over (partition by next_best_offer order by md5(concat('7:', customer_id)), customer_id) - 1 as place
+  from (select *, {_SPLIT} from features) where split = 'train')"""
+TABLES["model_rows"] = f"""
+select customer_id, next_best_offer, {_SPLIT}, {', '.join(f'cast(coalesce({c}, 0) as double) as x_{c}' for c in MODEL_INPUTS)}
+from features"""
+TABLES["label_moments"] = f"""
+select next_best_offer as label, count(*) as n, {', '.join(f'avg(x_{c}) as m_{c}, var_pop(x_{c}) as v_{c}' for c in MODEL_INPUTS)}
+from model_rows where split = 'train' and next_best_offer is not null group by 1"""
+TABLES["whole_moments"] = f"""
+select count(*) as total, {', '.join(f'var_pop(x_{c}) as w_{c}' for c in MODEL_INPUTS)}
+from model_rows where split = 'train' and next_best_offer is not null"""
+QUERIES["ml_naive_bayes"] = f"""
+select customer_id, split, next_best_offer, label as bayes_offer from (
+  select *, row_number() over (partition by customer_id order by ln(n / total) + {_LIKELIHOOD} desc, label desc) as place
+  from model_rows cross join label_moments cross join whole_moments) where place = 1"""
+
 QUERIES |= {name: " union all ".join(parts) for name, parts in CHECKS.items()}
 QUERIES["dq_states_report"] = "select check_name, table_name, violations from (" + " union all ".join(
     part for name, parts in CHECKS.items() for part in parts

@@ -1,8 +1,14 @@
 from __future__ import annotations
 
+import random
+from collections import Counter
+from statistics import fmean, pvariance
+
 import pytest
 from pyspark.sql import functions as F
 
+from bankspark.operators import bayes as B
+from bankspark.operators import halving as H
 from bankspark.operators import offers as O
 from bankspark.plans.registered import Bank
 
@@ -56,3 +62,99 @@ def test_holdout_scores(spark):
     f1, accuracy = O.holdout_scores(spark.createDataFrame(pairs, "label_index double, prediction double"))
     assert accuracy == 4 / 6
     assert abs(f1 - (4 * (6 / 8) + 1 * (2 / 3) + 0) / 6) < 1e-12
+
+
+def test_a_fingerprint_is_of_the_content(features):
+    same = O.fingerprint(features)
+    assert O.fingerprint(features.repartition(5)) == same
+    assert O.fingerprint(features.select(*reversed(features.columns))) == same
+    changed = F.when(F.col("customer_id") == features.first()["customer_id"], F.col("age") + 1).otherwise(F.col("age"))
+    assert O.fingerprint(features.withColumn("age", changed)) != same
+    assert O.fingerprint(features.union(features)) != same
+
+
+def test_folds_are_stratified_on_every_layout(features):
+    rows = H.ml_folds(features).collect()
+    assert sorted(rows) == sorted(H.ml_folds(features.repartition(5)).collect())
+    train = {r[0] for r in O.ml_split(features).filter("split = 'train'").select("customer_id").collect()}
+    assert {r.customer_id for r in rows} == train and len(rows) == len(train)
+    sizes, places = Counter((r.next_best_offer, r.fold) for r in rows), {}
+    for r in rows:
+        places.setdefault(r.next_best_offer, []).append(r.place)
+    for label, found in places.items():
+        assert sorted(found) == list(range(len(found)))
+        of_label = [sizes[label, k] for k in range(H.FOLDS)]
+        assert max(of_label) - min(of_label) <= 1
+    other = {(r.customer_id, r.fold) for r in H.ml_folds(features, seed=8).collect()}
+    assert other != {(r.customer_id, r.fold) for r in rows}
+
+
+def test_folds_of_odd_tables(spark):
+    rows = [("a", None), ("a", None), ("b", "x"), (None, "x")]
+    frame = spark.createDataFrame(rows * 3, "customer_id string, next_best_offer string")
+    found = H.ml_folds(frame).collect()
+    assert all(r.place is not None for r in found)
+    assert H.ml_folds(frame.limit(0)).collect() == []
+
+
+def test_halving_keeps_the_best_third_and_gives_it_three_times_the_rows():
+    asked = []
+
+    def score(name, one_in, fold):
+        asked.append((name, one_in, fold))
+        return int(name[1:]) / 10 if name != "s3" else 0.8  # s3 and s8 tie
+
+    steps = H.halving({f"s{k}": None for k in range(9)}, score)
+    assert H.shares(9, rows=100, least=10) == [9, 3, 1] and H.shares(9, rows=50, least=10) == [5, 3, 1] and H.shares(9, rows=5) == [1, 1, 1]
+    assert H.shares(9) == [9, 3, 1] and H.shares(1) == [1] and H.shares(10) == [27, 9, 3, 1]
+    assert [[s.setting for s in steps if s.rung == r and s.goes_on] for r in (1, 2, 3)] == [["s3", "s8", "s7"], ["s3"], ["s3"]]
+    assert len(asked) == len(set(asked)) == 3 * (9 + 3 + 1)
+    assert {one_in for _, one_in, _ in asked} == {9, 3, 1}
+
+
+@pytest.fixture(scope="module")
+def steps(features):
+    return H.search(features)
+
+
+def test_search_is_no_worse_than_the_fixed_settings_on_the_folds(features, steps):
+    board = H.ml_search(features, steps).collect()
+    chosen = [r for r in board if r.rung == 3 and r.goes_on]
+    assert len(chosen) == 1 and chosen[0].rank == 1 and chosen[0].one_in == 1 and 0 <= chosen[0].spread_f1 < 0.1
+    # This table is so small that every rung has all rows: the first one scores the fixed settings on the same folds.
+    fixed = {"decision_tree depth=10", "random_forest trees=40 depth=10", "logistic_regression penalty=0.0", "naive_bayes"}
+    whole = {s.setting: s.mean for s in steps if s.rung == 1 and s.one_in == 1}
+    assert fixed <= set(whole) and all(chosen[0].mean_f1 >= whole[name] for name in fixed)
+
+
+def test_search_is_repeatable(features, steps, monkeypatch):
+    known = H.settings()
+    few = {name: known[name] for name in ("decision_tree depth=5", "decision_tree depth=10", "naive_bayes")}
+    monkeypatch.setattr(H, "settings", lambda: few)
+    first, second = H.search(features), H.search(features.repartition(3))
+    assert [(s.rung, s.setting, s.goes_on) for s in first] == [(s.rung, s.setting, s.goes_on) for s in second]
+    assert all(abs(a.mean - b.mean) < 0.02 for a, b in zip(first, second))
+    before = {s.setting: s.scores for s in steps if s.rung == 1}
+    assert all(abs(a - b) < 1e-9 for s in first for a, b in zip(s.scores, before[s.setting]))
+
+
+def test_naive_bayes_in_closed_form(spark):
+    rng = random.Random(3)
+    rows = [(f"c{i}", rng.gauss(5 * (i % 3), 1), 1.0, "abc"[i % 3]) for i in range(600)]
+    frame = spark.createDataFrame([*rows, ("d", 4.0, 1.0, None)], "customer_id string, x double, y double, offer string")
+    moments = B.fit(frame, ["x", "y"], "offer")
+    found = {r[0]: r[1] for r in frame.select("customer_id", B.most_likely(moments, ["x", "y"])).collect()}
+    assert sum(found[c] == offer for c, _, _, offer in rows) / 600 > 0.97 and found["d"] == "b"
+    xs = [x for _, x, _, offer in rows if offer == "a"]
+    of_a = next(m for m in moments if m["label"] == "a")
+    assert abs(of_a["mean_x"] - fmean(xs)) < 1e-9 and abs(of_a["var_x"] - pvariance(xs)) < 1e-9
+    none = frame.filter("offer is null")
+    assert none.select(B.most_likely(B.fit(none, ["x", "y"], "offer"), ["x", "y"])).first()[0] is None
+    missing = frame.select(F.lit(None).cast("double").alias("x"), "y")
+    assert missing.select(B.most_likely(moments, ["x", "y"])).first()[0] is None
+
+
+def test_naive_bayes_agrees_with_the_library_on_most_customers(features, trained):
+    ours = {r.customer_id: r.bayes_offer for r in B.ml_naive_bayes(features).collect()}
+    theirs = O.score(features, trained.models["naive_bayes"]).collect()
+    assert len(ours) == len(theirs) and sum(ours[r.customer_id] == r.predicted_offer for r in theirs) / len(theirs) > 0.5

@@ -10,7 +10,7 @@ from tests.compare import difference, given_views
 
 QUERIES = registered.queries()
 TWINS = twins.oracle_sql()
-ROWS_ONLY = {"ml_leaderboard", "ml_batch_score", "ml_offer_actions"}
+ROWS_ONLY = {"ml_leaderboard", "ml_search", "ml_batch_score", "ml_offer_actions"}
 
 
 @pytest.fixture(scope="module")
