@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from bankspark.operators.offers import INPUTS, LABEL, ml_split, ready
 
-SMOOTHING = 0.001  # share of a column's whole variance that every label's variance gets on top
+SMOOTHING = 0.001  # share of a column's own whole variance that every label's variance gets on top
 LEAST = 1e-9  # added to that, for columns that never vary
 
 
@@ -20,29 +20,30 @@ def fit(rows: DataFrame, inputs: list[str], label: str) -> list[Row]:
 
     One row per label comes to the driver, which the short list of offers bounds; rows without a label are left out.
     """
-    moments = [f(F.col(c).cast("double")).alias(f"{name}_{c}") for c in inputs for name, f in (("mean", F.avg), ("var", F.var_pop))]
+    moments = [f(f"in_{c}").alias(f"{name}_{c}") for c in inputs for name, f in (("mean", F.avg), ("var", F.var_pop))]
     return (
-        rows.filter(F.col(label).isNotNull()).withColumnRenamed(label, "label").rollup("label")
-        .agg(F.grouping("label").alias("total"), F.count(F.lit(1)).alias("n"), *moments).collect()
+        rows.filter(F.col(label).isNotNull())
+        .select(F.col(label).alias("label"), *(F.col(c).cast("double").alias(f"in_{c}") for c in inputs))
+        .rollup("label").agg(F.grouping("label").alias("total"), F.count(F.lit(1)).alias("n"), *moments).collect()
     )
 
 
-def _score(row: Row, whole: Row, inputs: list[str]) -> Column:
+def _score(row: Row, whole: Row, inputs: list[str], smoothing: float) -> Column:
     terms = []
     for c in inputs:
-        variance = row[f"var_{c}"] + SMOOTHING * whole[f"var_{c}"] + LEAST
+        variance = row[f"var_{c}"] + smoothing * whole[f"var_{c}"] + LEAST
         away = F.col(c).cast("double") - F.lit(row[f"mean_{c}"])
         terms.append(F.lit(-0.5 * math.log(variance)) - away * away / F.lit(2 * variance))
     return F.lit(math.log(row["n"] / whole["n"])) + reduce(add, terms)
 
 
-def most_likely(moments: list[Row], inputs: list[str]) -> Column:
+def most_likely(moments: list[Row], inputs: list[str], smoothing: float = SMOOTHING) -> Column:
     """The label of the highest likelihood, ties to the greatest label; NULL where nothing was learned or an input is NULL."""
     whole = [m for m in moments if m["total"]]
     labels = sorted((m for m in moments if not m["total"]), key=lambda m: m["label"])
     if not labels:
         return F.lit(None).cast("string")
-    best = F.array_max(F.array(*(F.struct(_score(m, whole[0], inputs).alias("score"), F.lit(m["label"]).alias("label")) for m in labels)))
+    best = F.array_max(F.array(*(F.struct(_score(m, whole[0], inputs, smoothing).alias("score"), F.lit(m["label"]).alias("label")) for m in labels)))
     return F.when(best.getField("score").isNotNull(), best.getField("label"))
 
 
