@@ -7,8 +7,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from bankspark.operators.search import search_vectors, search_words, vector_index, word_index
-from bankspark.sources.scratch import store
+from bankspark.operators.search import search_vectors, search_words, store_index, vector_index, word_index
 
 TOP_K = 5
 
@@ -19,7 +18,7 @@ def docs_bm25_topk(documents: DataFrame, questions: DataFrame, k: int = TOP_K, r
     Returns (question_id, rank, doc_id, score).  Documents that share no term with a question are never returned for
     it.  The index is stored in the shared folder; ``report`` tells how many of the asked terms' postings were read.
     """
-    return search_words(store(word_index(documents)), questions, k, report)
+    return search_words(store_index(word_index(documents)), questions, k, report)
 
 
 def docs_cosine_topk(vectors: DataFrame, questions: DataFrame, k: int = TOP_K, report: Observation | None = None) -> DataFrame:
@@ -27,7 +26,7 @@ def docs_cosine_topk(vectors: DataFrame, questions: DataFrame, k: int = TOP_K, r
 
     Returns (question_id, rank, doc_id, score), exact over all vectors; ``report`` tells how many cells were read.
     """
-    return search_vectors(store(vector_index(vectors)), questions, k, report)
+    return search_vectors(store_index(vector_index(vectors)), questions, k, report)
 
 
 def topic_vectors(vectors: DataFrame) -> DataFrame:

@@ -29,6 +29,10 @@ QUESTIONS_PER_BLOCK = 512
 TERMS_PER_BLOCK = 20_000  # of questions made of words
 MOST_BROADCAST = 8 << 20  # bytes of stored questions
 DOCS_PER_SEGMENT = 512
+WORDS_PER_SEGMENT = 1 << 18  # so that long documents do not make a large row
+ROWS_PER_GROUP = 16  # packed rows of the stored index that a reader decodes at once
+TASK_BYTES = 32 << 20  # of packed rows and the questions beside them that one task searches, about
+LEAST_BYTES = 2 << 20  # a task that has less is not worth its start
 FIRST_READ = 64  # postings read before documents are first left out
 LOOKUP = 8  # postings read in the time that one is looked up
 VECTORS_PER_CELL = 2048  # of one pivot that are packed into a row, at most
@@ -59,18 +63,39 @@ class Floors:
         return places
 
 
-def _meet(index: DataFrame, questions: DataFrame, entry: Column, per_block: int) -> DataFrame:
+def store_index(index: DataFrame) -> DataFrame:
+    """An index written to the shared folder, in row groups of few packed rows, each of which a reader decodes whole."""
+    return store(index, **{"parquet.block.row.count.limit": ROWS_PER_GROUP, "parquet.page.size.row.check.min": 1})
+
+
+def tasks_for(packed_bytes: int, rows: int, asked_bytes: int, blocks: int, cores: int) -> int:
+    """How many tasks search ``rows`` packed rows beside all blocks of questions, so that what one has is bounded.
+
+    Spark hands a task's rows to Python in one batch (up to 10,000 rows), so a task must not have many large rows.
+    """
+    total = packed_bytes * blocks + asked_bytes * rows
+    return max(1, -(-total // TASK_BYTES), min(cores, total // LEAST_BYTES))
+
+
+def _meet(index: DataFrame, packed_bytes: Column, questions: DataFrame, entry: Column, asked_bytes: Column, per_block: int) -> DataFrame:
     """Every packed row beside every block of questions (question_id, ...), an array of ``entry``.
 
-    The blocks are broadcast if the stored questions are small, else they are joined by their number.
+    The blocks are broadcast if the stored questions are small, else they are joined by their number.  Rows are dealt
+    out evenly by their bytes, of which the two ``bytes`` columns tell about how many there are.
     """
     questions = store(questions)
-    blocks = max(1, -(-questions.count() // per_block))
+    asked = questions.agg(F.count(F.lit(1)).alias("n"), F.sum(asked_bytes).alias("bytes")).first()
+    held = index.agg(F.count(F.lit(1)).alias("n"), F.sum(packed_bytes).alias("bytes")).first()
+    blocks = max(1, -(-asked["n"] // per_block))
     block = F.pmod(F.xxhash64("question_id"), F.lit(blocks)).alias("block")
     packed = questions.select(block, entry.alias("entry")).groupBy("block").agg(F.collect_list("entry").alias("asked"))
     size = int(str(questions._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint")))
-    return index.withColumn("block", every).join(F.broadcast(packed) if size <= MOST_BROADCAST else packed, "block")
+    cores = index.sparkSession.sparkContext.defaultParallelism
+    tasks = tasks_for(held["bytes"] or 0, held["n"], asked["bytes"] or 0, blocks, cores)
+    if size <= MOST_BROADCAST:
+        return index.withColumn("block", every).repartition(tasks).join(F.broadcast(packed), "block")
+    return index.withColumn("block", every).join(packed, "block").repartition(tasks)
 
 
 def _ranked(candidates: DataFrame, k: int, report: Observation | None) -> DataFrame:
@@ -158,8 +183,14 @@ def _weight(tf: np.ndarray, length: np.ndarray, mean: float) -> np.ndarray:
 def _segments(reference: float, per_segment: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, per_segment):
-                yield _segment(batch.slice(start, per_segment), reference)
+            ends = pc.list_value_length(batch.column("terms")).to_numpy().astype(np.int64).cumsum()
+            start = 0
+            while start < batch.num_rows:
+                before = ends[start - 1] if start else 0
+                stop = int(np.searchsorted(ends, before + WORDS_PER_SEGMENT, side="right"))
+                stop = min(max(stop, start + 1), start + per_segment, batch.num_rows)
+                yield _segment(batch.slice(start, stop - start), reference)
+                start = stop
 
     return pack
 
@@ -318,7 +349,8 @@ def search_words(index: DataFrame, questions: DataFrame, k: int, report: Observa
     )
     idf = F.log(1 + (F.lit(n) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     askers = asked.join(known, "term").select("question_id", "term", idf.alias("idf"))
-    pairs = _meet(index, askers, F.struct("question_id", "term", "idf"), per_block)
+    packed_bytes = 12 * F.size("holders") + 32 * F.size("terms") + 24 * F.size("docs")
+    pairs = _meet(index, packed_bytes, askers, F.struct("question_id", "term", "idf"), F.lit(32), per_block)
     searched = pairs.mapInArrow(_WordSearch(k, max(1.0, length) / max(1, n)).__call__, _found_schema(index, questions))
     return _ranked(searched, k, report)
 
@@ -418,5 +450,7 @@ def search_vectors(index: DataFrame, questions: DataFrame, k: int, report: Obser
     (``n_asked``), for all questions together.
     """
     questions = questions.filter(F.col("embedding").isNotNull()).select("question_id", "embedding")
-    pairs = _meet(index, questions, F.struct("question_id", "embedding"), per_block)
+    packed_bytes = 8 * (F.size("vectors") + F.size("pivot")) + 24 * F.size("docs")
+    entry = F.struct("question_id", "embedding")
+    pairs = _meet(index, packed_bytes, questions, entry, 16 + 8 * F.size("embedding"), per_block)
     return _ranked(pairs.mapInArrow(_VectorSearch(k).__call__, _found_schema(index, questions)), k, report)

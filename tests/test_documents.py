@@ -5,10 +5,12 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import Observation
+from pyspark.sql import functions as F
 
 from bankspark import schemas as S
 from bankspark.operators import documents as D
@@ -216,6 +218,40 @@ def test_bm25_reads_little_for_telling_words(spark):
     assert report.get["n_read"] < 0.4 * report.get["n_asked"]
 
 
+def test_long_documents_make_small_segments(spark, monkeypatch):
+    monkeypatch.setattr(search, "WORDS_PER_SEGMENT", 100)
+    corpus = _docs(spark, *["tea milk " * 20] * 7, "tea " * 500, "", None).coalesce(1)
+    segments = search.word_index(corpus).select("docs", "lengths").collect()
+    assert sorted(d for s in segments for d in s["docs"]) == list(range(10))
+    assert all(sum(s["lengths"]) <= 100 or len(s["docs"]) == 1 for s in segments) and len(segments) < 10
+
+
+def test_what_a_search_task_holds_is_bounded(spark, monkeypatch):
+    """Spark hands the rows of a task to Python at once, so the bytes of a task are bounded, whatever the index has."""
+    corpus = _docs(spark, *[f"tea cup{i} " * 30 for i in range(400)]).coalesce(1)
+    asked = spark.createDataFrame([(1, "tea cup7")], "question_id bigint, text string")
+    index = search.store_index(search.word_index(corpus, 4))
+    whole = search.search_words(index, asked, 3).collect()
+    monkeypatch.setattr(search, "TASK_BYTES", 2000)
+    cut = search.search_words(index, asked, 3)
+    assert sorted(cut.collect()) == sorted(whole)
+    entries = asked.selectExpr("question_id", "text AS term", "1D AS idf")
+    pairs = search._meet(index, F.lit(200), entries, F.struct("question_id", "term", "idf"), F.lit(32), 512)
+    held = pairs.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in held) == 100 and max(r["count"] for r in held) <= 2000 // (200 + 32) + 1
+    files = [f.removeprefix("file://") for f in index.inputFiles()]
+    groups = [pq.ParquetFile(f).metadata for f in files]
+    assert all(m.row_group(g).num_rows <= search.ROWS_PER_GROUP for m in groups for g in range(m.num_row_groups))
+
+
+def test_search_tasks_grow_with_the_index_and_the_questions():
+    task = search.TASK_BYTES
+    assert search.tasks_for(0, 0, 0, 1, 8) == 1
+    assert search.tasks_for(100 * task, 1000, 0, 1, 8) == 100
+    assert search.tasks_for(100 * task, 1000, task // 10, 3, 8) == 400
+    assert search.tasks_for(task, 10, 0, 1, 8) == 8
+
+
 def test_bm25_without_answers(spark):
     asked = spark.createDataFrame([(1, "tea")], "question_id bigint, text string")
     assert retrieval.docs_bm25_topk(_docs(spark, "", None), asked).count() == 0
