@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from bankspark.functions.text import tokens
 from bankspark.operators.combine import union_all
 from bankspark.operators.documents import docs_chunk_words
-from bankspark.operators.search import search_vectors, search_words, vector_index, word_index
+from bankspark.operators.search import search_vectors, search_words, store_index, vector_index, word_index
 from bankspark.sources.scratch import store
 
 TOP_K = 5
@@ -50,8 +50,8 @@ def docs_cited_chunks(documents: DataFrame, questions: DataFrame, k: int = TOP_K
     """
     chunks = store(docs_chunk_words(documents).withColumn("key", F.concat("doc_id", F.lit("#"), "chunk_no")))
     as_docs = chunks.select(F.col("key").alias("doc_id"), "text")
-    by_words = search_words(store(word_index(as_docs)), questions, depth)
-    index = store(vector_index(term_vectors(as_docs, "doc_id")))
+    by_words = search_words(store_index(word_index(as_docs)), questions, depth)
+    index = store_index(vector_index(term_vectors(as_docs, "doc_id")))
     by_vectors = search_vectors(index, term_vectors(questions, "question_id"), depth)
     fused = fuse([by_words, by_vectors]).withColumnRenamed("doc_id", "key").join(chunks.drop("text"), "key")
     best_first = (F.desc("score"), "doc_id", "chunk_no")
