@@ -20,24 +20,40 @@ CUSTOMERS_PER_PART = 1 << 14  # numbered by one task, about
 PART_WIDTH = 1 << 40  # numbers of one part
 
 
-def customer_numbers(customers: DataFrame) -> DataFrame:
-    """(customer_id, number): dense numbers within parts of bounded size."""
+def customer_numbers(customers: DataFrame, within: Sequence[str] = ()) -> DataFrame:
+    """(customer_id, number): dense numbers within parts of bounded size, or from part to part within each group of ``within``.
+
+    Groups never share a chunk of bitmap numbers.  Rows are numbered in parts by a hash of the id; how many stand in
+    the parts before is added up beside that, so a group of any size is no single task.
+    """
     parts = max(1, customers.count() // CUSTOMERS_PER_PART)
     part = F.pmod(F.xxhash64("customer_id"), F.lit(parts))
-    in_part = Window.partitionBy("part").orderBy("customer_id")
-    return customers.select("customer_id", part.alias("part")).select(
-        "customer_id", (F.col("part") * PART_WIDTH + F.row_number().over(in_part) - 1).alias("number")
-    )
+    in_part = F.row_number().over(Window.partitionBy("part").orderBy("customer_id")) - 1
+    if not within:
+        return customers.select("customer_id", part.alias("part")).select(
+            "customer_id", (F.col("part") * PART_WIDTH + in_part).alias("number")
+        )
+    rows = customers.select("customer_id", F.struct(*within).alias("group"), part.alias("part")).select(
+        "customer_id", F.struct("group", "part").alias("part"))
+    sizes = rows.groupBy("part").agg(F.count(F.lit(1)).alias("n")).select("part", F.col("part.group").alias("group"), "n")
+    before = Window.partitionBy("group").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("part", "group", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    # As many rows as there are groups, which are few: combinations of a profile.
+    firsts = sizes.select("group").distinct().withColumn("first", F.row_number().over(Window.orderBy("group")) * PART_WIDTH)
+    starts = starts.join(firsts, "group").select("part", (F.col("first") + F.col("start")).alias("start"))
+    numbered = rows.withColumn("inside", in_part)
+    return numbered.join(starts, "part").select("customer_id", (F.col("start") + F.col("inside") + 1).alias("number"))  # bitmap chunks begin at 1
 
 
 def spend_cells(profile: DataFrame, transactions: DataFrame) -> DataFrame:
     """(segment, state, region, txn_month, chunk, customers, spend_units, txns) of customers with transactions.
 
-    ``customers`` is the bitmap of the chunk's customers in the cell.  Transactions are added up per customer and month
-    before they meet the profile.
+    ``customers`` is the bitmap of the chunk's customers in the cell.  Customers are numbered profile by profile, so a
+    chunk belongs to one profile and its bitmaps are not nearly empty: there are a few times as many cells as months and
+    32,768s of customers.  Transactions are added up per customer and month before they meet the profile.
     """
     monthly = spend_in_units(transactions.withColumn("txn_month", F.date_trunc("month", "txn_date")), "txn_month")
-    members = profile.select("customer_id", *PROFILE).join(customer_numbers(profile), "customer_id")
+    members = profile.select("customer_id", *PROFILE).join(customer_numbers(profile, PROFILE), "customer_id")
     return (
         members.join(monthly, "customer_id")
         .groupBy(*PROFILE, "txn_month", F.bitmap_bucket_number("number").alias("chunk"))

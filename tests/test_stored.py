@@ -114,6 +114,25 @@ def test_numbers_are_dense_in_parts(spark, monkeypatch):
     assert len(parts) == 20 and all(sorted(p) == list(range(len(p))) for p in parts.values())
 
 
+def test_bitmaps_of_a_cell_are_not_nearly_empty(spark, monkeypatch):
+    """Customers of a profile have numbers side by side, so a profile has as few bitmaps as its size needs."""
+    monkeypatch.setattr(L, "CUSTOMERS_PER_PART", 50)
+    n = 2000
+    profile = spark.range(n).selectExpr(
+        "concat('C', id) AS customer_id", "nullif(concat('s', id % 4), 's3') AS segment", "'x' AS state", "'y' AS region")
+    numbers = L.customer_numbers(profile, L.PROFILE).join(profile, "customer_id").collect()
+    assert len({r["number"] for r in numbers}) == len(numbers) == n
+    chunks = {}
+    for r in numbers:
+        chunks.setdefault(r["segment"], []).append(r["number"])
+    for of_segment in chunks.values():  # gapless from part to part
+        assert sorted(of_segment) == list(range(min(of_segment), min(of_segment) + n // 4))
+    assert len({min(c) // L.PART_WIDTH for c in chunks.values()}) == 4
+    days = spark.range(3 * n).selectExpr(
+        f"concat('C', id % {n}) AS customer_id", "make_date(2001, cast(id % 3 as int) + 1, 1) AS txn_date", "1.0D AS amount_myr")
+    assert L.spend_cells(profile, days).count() == 4 * 3
+
+
 # Features
 
 
