@@ -14,13 +14,13 @@ from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 from statistics import fmean, pstdev
 
-from pyspark import StorageLevel
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, NaiveBayes, RandomForestClassifier
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bankspark.operators.offers import INPUTS, LABEL, SEED, holdout_scores, ml_split, ready
+from bankspark.operators.offers import INPUTS, LABEL, SEED, for_training, holdout_scores, ml_split, ready
+from bankspark.sources.scratch import store
 
 FOLDS = 3
 RATE = 3  # one in so many settings goes on, with so many times the rows
@@ -112,14 +112,13 @@ def halving(candidates: dict, score: Callable[[str, int, int], float], folds: in
 def search(features: DataFrame, folds: int = FOLDS, rate: int = RATE) -> list[Step]:
     """Successive halving over ``settings`` on the training customers; test customers are not read.
 
-    The assembled rows are computed once and kept on memory and disk while models train.
+    The feature table is stored, the assembled rows are kept on memory and disk while models train.
     """
+    features = store(features)
     placed = ml_folds(features, folds).select("customer_id", "place", "fold")
-    data = (
+    data = for_training(
         VectorAssembler(inputCols=INPUTS, outputCol="inputs").transform(ready(features))
-        .select("customer_id", "inputs", LABEL).join(placed, "customer_id").drop("customer_id")
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
+        .select("customer_id", "inputs", LABEL).join(placed, "customer_id"), features.count())
     try:
         indexed = StringIndexer(inputCol=LABEL, outputCol="label_index", stringOrderType="alphabetAsc").fit(data).transform(data)
         candidates = settings()

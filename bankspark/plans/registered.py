@@ -272,13 +272,19 @@ class Bank(GivenTables):
 _saved: dict[tuple[str, str], str] = {}
 
 
-def offer_model(bank: Bank) -> tuple[DataFrame, PipelineModel]:
-    """The leaderboard and the best model, trained once per session and content of the feature table, then loaded."""
-    key = (bank.spark.sparkContext.applicationId, O.fingerprint(bank.features))
+def offer_model(bank: Bank) -> tuple[DataFrame, DataFrame, PipelineModel]:
+    """The stored feature table, the leaderboard and the best model, trained once per session and content of the table, then loaded."""
+    features = store(bank.features)
+    key = (bank.spark.sparkContext.applicationId, O.fingerprint(features))
     if key not in _saved or not exists(bank.spark, _saved[key]):
         _saved[key] = shared_folder(bank.spark)
-        O.save(bank.spark, O.train(bank.features), _saved[key])
-    return O.load(bank.spark, _saved[key])
+        O.save(bank.spark, O.train(features), _saved[key])
+    return features, *O.load(bank.spark, _saved[key])
+
+
+def offers_of_all(bank: Bank) -> DataFrame:
+    features, _, model = offer_model(bank)
+    return O.score(features, model)
 
 
 def _over_bank(job: Callable[[Bank], DataFrame]) -> Query:
@@ -403,12 +409,12 @@ JOBS: dict[str, Callable[[Bank], DataFrame]] = {
     "route_multi": lambda b: W.route_multi(b.user_turns, b.specialists),
     # Offer model
     "ml_split": lambda b: O.ml_split(b.features),
-    "ml_leaderboard": lambda b: offer_model(b)[0],
+    "ml_leaderboard": lambda b: offer_model(b)[1],
     "ml_folds": lambda b: H.ml_folds(b.features),
     "ml_search": lambda b: H.ml_search(b.features),
     "ml_naive_bayes": lambda b: B.ml_naive_bayes(b.features),
-    "ml_batch_score": lambda b: O.score(b.features, offer_model(b)[1]),
-    "ml_offer_actions": lambda b: O.actions(O.score(b.features, offer_model(b)[1])),
+    "ml_batch_score": offers_of_all,
+    "ml_offer_actions": lambda b: O.actions(offers_of_all(b)),
 }
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from bankspark.operators import bayes as B
 from bankspark.operators import halving as H
 from bankspark.operators import offers as O
+from bankspark.plans import registered
 from bankspark.plans.registered import Bank
 
 
@@ -59,6 +60,22 @@ def test_a_saved_model_scores_the_same(spark, features, trained, tmp_path):
     assert O.score(features, model).exceptAll(O.ml_batch_score(features, trained)).isEmpty()
 
 
+def test_training_rows_are_in_few_partitions(spark, monkeypatch):
+    """Each partition sends the statistics of all nodes of a level, so there are no more of them than cores need."""
+    rows = spark.range(1000).selectExpr("concat('C', id) AS customer_id", "id AS x").repartition(200)
+    kept = O.for_training(rows, 1000)
+    assert kept.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism and kept.count() == 1000
+    kept.unpersist()
+    monkeypatch.setattr(O, "ROWS_PER_TASK", 10)
+    assert O.for_training(rows, 1000).unpersist().rdd.getNumPartitions() == 100
+
+
+def test_models_read_a_stored_feature_table(spark, small_dir):
+    scored = registered.offers_of_all(Bank(spark, small_dir))
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "lineitem" not in plan and scored.count() == Bank(spark, small_dir).customers.count()
+
+
 def test_holdout_scores(spark):
     pairs = [(0.0, 0.0)] * 3 + [(0.0, 1.0), (1.0, 1.0), (2.0, 0.0)]
     f1, accuracy = O.holdout_scores(spark.createDataFrame(pairs, "label_index double, prediction double"))
