@@ -246,7 +246,12 @@ class Bank(GivenTables):
         return C.dq_row_counts(built, self.expected_rows(), tolerance=0.1)
 
     def report(self) -> DataFrame:
-        """All checks, those of customer grain included; nothing is copied."""
+        """All checks, those of customer grain included.
+
+        Transactions are joined from two tables and read by many checks, so they are stored once; else each check
+        would shuffle the columns it needs again.
+        """
+        self.transactions = store(self.transactions, compression="zstd")
         return C.dq_report(self.tables, AS_OF, FORMATS, self.customer_grain, self.expected_rows())
 
     def states_report(self) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import itertools
 import re
 
+import __spark_entry__ as entry
 import pytest
 from pyspark.sql import functions as F
 
@@ -133,6 +134,11 @@ def test_bitmaps_of_a_cell_are_not_nearly_empty(spark, monkeypatch):
     assert L.spend_cells(profile, days).count() == 4 * 3
 
 
+def test_the_report_joins_the_transactions_once(spark, small_dir):
+    plan = entry.queries()["dq_report"](spark, small_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "l_shipdate" not in plan and "l_partkey" not in plan and "txn_id" in plan
+
+
 # Features
 
 
