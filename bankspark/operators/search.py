@@ -93,9 +93,10 @@ def _meet(index: DataFrame, packed_bytes: Column, questions: DataFrame, entry: C
     every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint")))
     cores = index.sparkSession.sparkContext.defaultParallelism
     tasks = tasks_for(held["bytes"] or 0, held["n"], asked["bytes"] or 0, blocks, cores)
+    dealt = lambda pairs: pairs.repartition(tasks) if tasks > 1 else pairs
     if size <= MOST_BROADCAST:
-        return index.withColumn("block", every).repartition(tasks).join(F.broadcast(packed), "block")
-    return index.withColumn("block", every).join(packed, "block").repartition(tasks)
+        return dealt(index.withColumn("block", every)).join(F.broadcast(packed), "block")
+    return dealt(index.withColumn("block", every).join(packed, "block"))
 
 
 def _ranked(candidates: DataFrame, k: int, report: Observation | None) -> DataFrame:
