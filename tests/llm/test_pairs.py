@@ -7,6 +7,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from bankspark.llm import cells, decontamination, line_dedup, ngram_join, substring_dedup
@@ -50,6 +51,31 @@ def test_ngram_join_is_exact(spark, prose):
     assert sorted(map(tuple, got), key=repr) == brute_components(prose)
 
 
+def test_frequency_levels_come_to_the_driver_packed(spark, prose, monkeypatch):
+    docs = frame(spark, [r for r in prose if len(r[1] or "") < 5000])
+    size, kind, brought = 1 << 16, type(docs), []
+
+    def collect(self, real=kind.collect):
+        rows = real(self)
+        brought.extend(len(x) if isinstance(x, (bytes, bytearray)) else 8 for row in rows for x in row)
+        return rows
+
+    monkeypatch.setattr(kind, "collect", collect)
+    levels, total = ngram_join.frequency_levels(docs, size=size)
+    assert 0 < sum(brought) <= size  # at most a byte for each class, where counts take eight
+    column = pa.array([r.text for r in docs.select("text").toLocalIterator()], pa.string())
+    grams = np.concatenate(list(ngram_join.set_hashes(column)))
+    counts = np.bincount((grams & np.uint64(size - 1)).astype(np.int64), minlength=size)
+    expected = np.log2(np.maximum(counts, 1) / max(1.0, counts.mean())) - ngram_join.LEAST_DOUBLINGS + 1
+    assert total == len(grams) and levels.max() > 0
+    assert levels.tolist() == np.clip(expected, 0, (1 << ngram_join.LEVEL_BITS) - 1).astype(np.uint8).tolist()
+
+
+def test_frequency_levels_of_nothing(spark):
+    levels, total = ngram_join.frequency_levels(frame(spark, [(1, None), (2, "")]), size=1 << 12)
+    assert total == 0 and len(levels) == 1 << 12 and not levels.any()
+
+
 @pytest.mark.parametrize("members", [2, 5])
 def test_large_blocks_are_compared_in_cells(spark, members):
     rng = np.random.default_rng(members)
