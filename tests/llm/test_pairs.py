@@ -278,6 +278,46 @@ def test_substring_dedup_finds_pairs_around_a_hot_passage(spark):
     assert linked >= 38 and max(passage) < 1000
 
 
+def test_substring_dedup_keeps_no_window_for_each_place_of_one_word():
+    texts = pa.array(["the " * 3000, "x y z " + "the " * 200 + "x y z"])
+    _, _, found = substring_dedup.windows_of_column(texts, 5, 46, 4)
+    assert 4 * 180 < len(found["key"]) < 4 * 260
+    other = np.random.default_rng(3).integers(1, 1 << 60, 4000).astype(np.uint64)
+    begin, place, _ = substring_dedup.compact_windows(other, 46)
+    assert len(substring_dedup.thinned(other[place], begin, place)) == len(place)
+
+
+def brute_candidates(rows, span, enough):
+    low, high, shift = rows[:, 1] + rows[:, 3], rows[:, 1] + rows[:, 4], rows[:, 1] - rows[:, 2]
+    near = np.minimum(high[:, None], high) - np.maximum(low[:, None], low) + 1 >= span - substring_dedup.SHIFT
+    near &= np.abs(shift[:, None] - shift) <= substring_dedup.SHIFT
+    return sum(near[:, rows[:, 0] == f].any(axis=1) for f in set(rows[:, 0].tolist())) >= enough
+
+
+def test_interval_join_is_that_of_all_pairs():
+    rng = np.random.default_rng(2)
+    for trial in range(200):
+        n = int(rng.integers(1, 60))
+        place = rng.integers(0, 2000, n)
+        rows = np.stack([rng.integers(0, 4, n), place, place - 100 * rng.integers(0, 3, n), -rng.integers(0, 46, n), rng.integers(45, 90, n)], axis=1)
+        got = substring_dedup.candidate_rows(rows, 46, 2)
+        assert got.tolist() == rows[brute_candidates(rows, 46, 2)].tolist()
+
+
+def test_open_windows_are_connected_without_all_their_pairs():
+    rng = np.random.default_rng(4)
+    say = lambda k: rng.integers(1, 1 << 32, k, dtype=np.uint32)
+    line, whole = say(20), say(91)
+    rows = []
+    for text in range(90):  # 30 hold one passage, 60 no more than a line
+        around = whole if text % 3 == 0 else np.concatenate([say(35), line, say(36)])
+        rows.append((0, False, True, text, 0, 45, 0, 90, around.tobytes(), 0))
+    pairs = substring_dedup.connecting_meets(rows, 46, 75)
+    assert len(pairs) == 29 and {x for pair in pairs for x in pair} == set(range(0, 90, 3))
+    dealt = [(k % 2, *row[1:]) for k, row in enumerate(rows)]  # two parts: only across
+    assert all((a - b) % 2 for a, b in substring_dedup.connecting_meets(dealt, 46, 75))
+
+
 def test_substring_dedup_of_nothing(spark):
     assert substring_dedup.passages(frame(spark, [])).collect() == []
     assert substring_dedup.passages(frame(spark, [(1, None), (2, ""), (3, "short")])).collect() == []
